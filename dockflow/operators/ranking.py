@@ -84,7 +84,14 @@ def ks_stat(a: DataFrame, b: DataFrame, cols: list[str]) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic per column."""
     both = a.select(*cols, F.lit(1).alias("in_a")).unionByName(b.select(*cols, F.lit(0).alias("in_a")))
     counts = value_counts(both, cols, {"n_a": F.col("in_a"), "n_b": 1 - F.col("in_a")})
+    return ks_of_counts(counts)
+
+
+def ks_of_counts(counts: DataFrame) -> DataFrame:
+    """K-S statistic per metric from (metric, value, n_a, n_b); null when a sample is empty."""
     ranked = prefix_sums(counts, ["metric"], "value", ["n_a", "n_b"])
     totals = ranked.groupBy("metric").agg(F.max("cum_n_a").alias("total_a"), F.max("cum_n_b").alias("total_b"))
-    share = F.abs(F.col("cum_n_a") / F.col("total_a") - F.col("cum_n_b") / F.col("total_b"))
+    share = F.abs(
+        F.col("cum_n_a") / F.nullif(F.col("total_a"), F.lit(0)) - F.col("cum_n_b") / F.nullif(F.col("total_b"), F.lit(0))
+    )
     return ranked.join(F.broadcast(totals), "metric").groupBy("metric").agg(F.max(share).alias("ks"))

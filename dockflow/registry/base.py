@@ -1,7 +1,8 @@
 """Registration, bindings of the domain tables to the test tables, and their SQL twins.
 
 Stations are the users of ``events``: their number grows with the data, and so does the grid.
-Values that later steps compare are rounded to 6 places on both sides.
+Values that later steps compare are rounded on both sides: base values to 6 places, means of
+them to 4, where a mean of few values cannot fall half-way between two results.
 """
 
 from __future__ import annotations
@@ -46,8 +47,8 @@ def r6(col: Column | str) -> Column:
     return F.round(F.col(col) if isinstance(col, str) else col, 6)
 
 
-def rounded(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: r6(c) for c in cols})
+def rounded(df: DataFrame, *cols: str, places: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c), places) for c in cols})
 
 
 def s6(expr: str) -> str:
@@ -55,6 +56,10 @@ def s6(expr: str) -> str:
     return f"(round({expr}, 6) + CAST(0 AS DOUBLE))"
 
 
+def s4(expr: str) -> str:
+    return f"(round({expr}, 4) + CAST(0 AS DOUBLE))"
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -198,18 +203,18 @@ def weather(spark: SparkSession, sf: str) -> DataFrame:
     def pick(kind: str) -> Column:
         return F.when(F.col("event_type") == kind, F.col("value"))
     return table(spark, sf, "events").groupBy(hour_floor(F.col("ts")).alias("datehour")).agg(
-        F.round(F.avg(pick("view")) / 10, 2).alias("temp"), F.round(F.sum(pick("click")) / 100, 2).alias("precip"),
+        F.max(pick("view")).alias("temp"), F.round(F.sum(pick("click")) / 100, 4).alias("precip"),
         F.sum(F.when(F.col("event_type") == "error", 1)).cast("double").alias("gel"),
-        F.round(F.avg(pick("purchase")) / 10, 2).alias("vent"),
+        F.max(pick("purchase")).alias("vent"),
     )
 
 
 WEATHER = """wx AS (
   SELECT date_trunc('hour', ts) AS datehour,
-         round(avg(CASE WHEN event_type = 'view' THEN value END) / 10, 2) AS temp,
-         round(sum(CASE WHEN event_type = 'click' THEN value END) / 100, 2) AS precip,
+         max(CASE WHEN event_type = 'view' THEN value END) AS temp,
+         round(sum(CASE WHEN event_type = 'click' THEN value END) / 100, 4) AS precip,
          CAST(sum(CASE WHEN event_type = 'error' THEN 1 END) AS DOUBLE) AS gel,
-         round(avg(CASE WHEN event_type = 'purchase' THEN value END) / 10, 2) AS vent
+         max(CASE WHEN event_type = 'purchase' THEN value END) AS vent
   FROM events GROUP BY 1)"""
 
 COMPLETE_WEATHER = (
@@ -282,7 +287,7 @@ def flow(spark: SparkSession, sf: str) -> DataFrame:
 
 SCORED = FLOW + f""", scored AS (
   SELECT * FROM (
-    SELECT *, delta AS delta_test, {s6("avg(delta) OVER w")} AS delta_pred, count(delta) OVER w AS seen FROM flow
+    SELECT *, delta AS delta_test, {s4("avg(delta) OVER w")} AS delta_pred, count(delta) OVER w AS seen FROM flow
     WINDOW w AS (PARTITION BY station, weekday, hour ORDER BY datehour ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING))
   WHERE seen >= 3)"""
 
@@ -297,7 +302,7 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
 
     def build() -> DataFrame:
         rows = seasonal_mean(flow(spark, sf), target="delta_pred").filter("delta_pred is not null")
-        return rows.withColumns({"delta_pred": r6("delta_pred"), "delta_test": F.col("delta")})
+        return rows.withColumns({"delta_pred": F.round("delta_pred", 4), "delta_test": F.col("delta")})
     return stored(spark, sf, "scored", build)
 
 

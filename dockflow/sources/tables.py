@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockflow.functions.timefn import hour_floor
@@ -59,8 +59,12 @@ def stats_document(stats: DataFrame) -> DataFrame:
     The document holds one number per profiled column and statistic, so gathering it in one row
     is bounded by the profile's width, not by the data.
     """
-    def pack(key: str, value) -> F.Column:
-        return F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(key), value.alias("v")))))
+    def by_key(key: str):
+        return lambda a, b: F.when(a[key] < b[key], -1).when(a[key] > b[key], 1).otherwise(0)
+
+    def pack(key: str, value: Column) -> Column:
+        pairs = F.collect_list(F.struct(F.col(key), value.alias("v")))
+        return F.map_from_entries(F.array_sort(pairs, by_key(key)))
 
     per_category = stats.groupBy("selection", "category").agg(pack("metric", F.col("value")).alias("m"))
     per_selection = per_category.groupBy("selection").agg(pack("category", F.col("m")).alias("m"))
