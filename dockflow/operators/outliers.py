@@ -48,12 +48,14 @@ def outlier_labels(counts: DataFrame, value: str = "n", k: float = 1.5, method:
 
 def drop_outliers(
     df: DataFrame, key: str, k: float = 3, method: str = "IQR", legacy: bool = False, stage: Stage = unstaged,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Keep rows whose key has a normal number of complete rows.
 
     ``legacy`` keeps every key that has a complete row at all, whatever its label. ``stage`` may
-    materialise the counts, so that ``df`` is evaluated once for them and once for the result.
+    materialise the counts, so that ``df`` is evaluated once for them and once for the result;
+    ``counts`` may bring coverage counts that were found in a cheaper way.
     """
-    counts = stage(coverage_counts(df, key))
+    counts = stage(coverage_counts(df, key) if counts is None else counts)
     keep = counts if legacy else outlier_labels(counts, "n", k, method).filter("label = 'normal'")
     return df.join(keep.select(key), key, "left_semi")

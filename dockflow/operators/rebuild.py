@@ -80,9 +80,15 @@ def interpolate_night(df: DataFrame, col: str = "bikes", max_len: int = 3) -> Da
 
 
 def seasonal_median(df: DataFrame, col: str = "delta", target: str = "seasonal_median") -> DataFrame:
-    """Median of this and the two previous rows of the same station, weekday and hour."""
-    w = by_hour("station", "weekday", "hour").rowsBetween(-2, 0)
-    return df.withColumn(target, F.percentile(F.col(col), F.lit(0.5)).over(w))
+    """Median of the known values among this and the two previous rows of the same station,
+    weekday and hour; written with offsets, which cost far less than a sliding percentile."""
+    w = by_hour("station", "weekday", "hour")
+    out = df.withColumns({"_b": F.lag(col, 1).over(w), "_c": F.lag(col, 2).over(w)})
+    a, b, c = F.col(col), F.col("_b"), F.col("_c")
+    three = a.isNotNull() & b.isNotNull() & c.isNotNull()
+    middle = F.greatest(F.least(a, b), F.least(F.greatest(a, b), c))
+    fewer = (F.greatest(a, b, c) + F.least(a, b, c)) / 2
+    return out.withColumn(target, F.when(three, middle).otherwise(fewer)).drop("_b", "_c")
 
 
 def neighbour_mean(df: DataFrame, col: str, target: str = "neighbour_mean") -> DataFrame:

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.functions.days import add_calendar
+from dockflow.functions.timefn import ONE_HOUR
 from dockflow.operators.dedup import station_dim
 from dockflow.operators.filters import WEATHER_COLUMNS, drop_incomplete, fix_types, select_flow
-from dockflow.operators.grid import add_delta, densify, hourly_observations
+from dockflow.operators.grid import add_delta, by_hour, densify, hourly_observations
 from dockflow.operators.outliers import drop_outliers
 from dockflow.operators.rebuild import rebuild_long_gaps, rebuild_short_gaps
 from dockflow.operators.weather import complete_weather, join_weather
@@ -27,6 +28,14 @@ def dense_series(hourly: DataFrame) -> DataFrame:
     return add_delta(densify(hourly.select("station", "datehour", "bikes")))
 
 
+def station_coverage(hourly: DataFrame) -> DataFrame:
+    """Complete rows per station of the dense series, counted on the observations: a row has a
+    delta when the hour before it was observed too."""
+    before = F.lag("datehour").over(by_hour())
+    consecutive = hourly.select("station", "datehour", (F.col("datehour") - F.expr(ONE_HOUR) == before).alias("ok"))
+    return consecutive.filter("ok").groupBy("station").agg(F.count(F.lit(1)).alias("n"))
+
+
 def build_station_flow(
     status: DataFrame, holidays: DataFrame, breaks: DataFrame, uni_breaks: DataFrame,
     drop_stations: bool = True, drop_days: bool = True, reconstruct: bool = True,
@@ -41,7 +50,8 @@ def build_station_flow(
     hourly = stage(hourly_observations(status))
     flow = dense_series(hourly)
     if drop_stations:
-        flow = drop_outliers(flow, "station", legacy=legacy_outliers, stage=stage)
+        counts = station_coverage(hourly)
+        flow = drop_outliers(flow, "station", legacy=legacy_outliers, stage=stage, counts=counts)
     if reconstruct:
         flow = rebuild_short_gaps(flow)
     if drop_days:
