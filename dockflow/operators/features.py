@@ -31,14 +31,18 @@ def minmax_apply(df: DataFrame, bounds: DataFrame | Row, cols: list[str]) -> Dat
     return df.withColumns({c: scaled(c) for c in cols})
 
 
-def onehot_fit(df: DataFrame, cols: list[str]) -> list[tuple[str, str]]:
+def onehot_fit(df: DataFrame, cols: list[str], max_columns: int = 10_000) -> list[tuple[str, str]]:
     """Sorted (column, value) vocabulary.
 
-    The vocabulary becomes output columns, so its size is bounded by how wide a table may be.
+    Every entry becomes an output column; a vocabulary too wide for a table is refused before it
+    reaches the driver (``index_fit`` serves such columns).
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols]))
-    rows = df.select(pairs.alias("p")).select("p.c", "p.v").filter("v is not null").distinct()
-    return sorted((r.c, r.v) for r in rows.toLocalIterator())
+    values = df.select(pairs.alias("p")).select("p.c", "p.v").filter("v is not null").distinct()
+    rows = values.take(max_columns + 1)
+    if len(rows) > max_columns:
+        raise ValueError(f"more than {max_columns} values in {', '.join(cols)}: use index_fit")
+    return sorted((r.c, r.v) for r in rows)
 
 
 def onehot_apply(df: DataFrame, vocabulary: list[tuple[str, str]]) -> DataFrame:

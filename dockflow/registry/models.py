@@ -102,7 +102,7 @@ def _(spark, sf):
     )
 
 
-@query("j17_feature_pipeline")
+@query("j17_fit_transform_features")
 def _(spark, sf):
     _, train, test = filters.time_split(lags.smooth(flow(spark, sf)), split=SPLIT)
     return FeaturePipeline.fit(train, config()).transform(test)
