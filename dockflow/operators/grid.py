@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dockflow.functions.timefn import ONE_HOUR, hour_floor
+from dockflow.functions.timefn import ONE_HOUR, hour_floor, hour_index
 from dockflow.session import shuffle_width
 
 ATTRIBUTES = ["lat", "lon", "name", "capacity"]
@@ -46,15 +46,17 @@ def hour_grid(hourly: DataFrame, stations: DataFrame | None = None) -> DataFrame
     return spread.withColumn("datehour", F.explode(hours))
 
 
-def densify(hourly: DataFrame, bounds_of: DataFrame | None = None, value: str = "bikes") -> DataFrame:
+def densify(hourly: DataFrame, value: str = "bikes", max_gap: int = 0) -> DataFrame:
     """Grid left join observations, without the join.
 
     Each observed hour is unrolled up to the hour before the station's next observation, and
     the station's first one also back to the first hour of the network. One shuffle by station
     replaces the grid's and the join's, and the result is already placed for the station windows.
+    As each run of hours knows both its ends, gaps up to ``max_gap`` hours can be interpolated
+    here without another window: linear between two observations, repeated after the last one.
     """
     attrs = [c for c in ATTRIBUTES if c in hourly.columns]
-    bounds = hour_bounds(bounds_of if bounds_of is not None else hourly)
+    bounds = hour_bounds(hourly)
     w = by_hour()
     step = F.expr(ONE_HOUR)
     placed = hourly.select("station", "datehour", value, *attrs).repartition(
@@ -67,9 +69,17 @@ def densify(hourly: DataFrame, bounds_of: DataFrame | None = None, value: str =
             "_to": F.coalesce(F.lead("datehour").over(w) - step, bounds.getField("high")),
         }
     )
+    if max_gap:
+        runs = runs.withColumn("_end", F.lead(value).over(w).cast("double"))
     dense = runs.withColumn("datehour", F.explode(F.sequence("_from", "_to", step)))
-    seen = F.when(F.col("datehour") == F.col("_seen"), F.col(value).cast("double"))
-    return dense.select("station", "datehour", *attrs, seen.alias(value))
+    start = F.col(value).cast("double")
+    filled = F.when(F.col("datehour") == F.col("_seen"), start)
+    if max_gap:
+        offset = hour_index(F.col("datehour")) - hour_index(F.col("_seen"))
+        length = hour_index(F.col("_to")) - hour_index(F.col("_seen"))
+        line = F.coalesce(start + (F.col("_end") - start) * offset / (length + 1), start)
+        filled = filled.when((offset > 0) & (length <= max_gap), line)
+    return dense.select("station", "datehour", *attrs, filled.alias(value))
 
 
 def add_delta(df: DataFrame, value: str = "bikes", target: str = "delta", fill: Column | None = None) -> DataFrame:

@@ -7,6 +7,9 @@ a frame that ends at the last row of the partition is evaluated in quadratic tim
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -47,25 +50,27 @@ def interpolate_gaps(
     """Linear interpolation by row position of gaps no longer than ``max_len``.
 
     A short gap at the end repeats the last value, a gap at the start stays null. Both ends of a
-    short gap are within ``max_len`` rows, so small frames see all that is needed.
+    short gap are within ``max_len`` rows, so a few row offsets see all that is needed.
     """
     w = by_hour(*keys)
-    pos = F.row_number().over(w)
-    before, after = w.rowsBetween(-max_len, -1), w.rowsBetween(1, max_len)
-    seen = F.when(F.col(col).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(col).alias("v")))
-    out = df.withColumn("_pos", pos).withColumn("_seen", seen).withColumns(
-        {
-            "_prev": F.last("_seen", ignorenulls=True).over(before),
-            "_next": F.first("_seen", ignorenulls=True).over(after),
-            "_ahead": F.count(F.lit(1)).over(after),
-        }
+    near = range(1, max_len + 1)
+    out = df.withColumns(
+        {f"_p{k}": F.lag(col, k).over(w) for k in near}
+        | {f"_n{k}": F.lead(col, k).over(w) for k in near}
+        | {f"_a{k}": F.lead(F.lit(1), k, 0).over(w) for k in near}
     )
-    i, prev, nxt = F.col("_pos"), F.col("_prev"), F.col("_next")
-    inner = (nxt["p"] - prev["p"] - 1 <= max_len)
-    tail = nxt.isNull() & (F.col("_ahead") < max_len) & (i - prev["p"] + F.col("_ahead") <= max_len)
-    line = prev["v"] + (nxt["v"] - prev["v"]) * (i - prev["p"]) / (nxt["p"] - prev["p"])
-    value = F.when(F.col(col).isNotNull(), F.col(col)).when(inner, line).when(tail, prev["v"])
-    return out.withColumn(col, value).drop("_pos", "_seen", "_prev", "_next", "_ahead")
+
+    def first(side: str, value: Callable[[int], Column]) -> Column:
+        """Value for the nearest known row on one side."""
+        return F.coalesce(*[F.when(F.col(f"{side}{k}").isNotNull(), value(k)) for k in near])
+
+    prev, back = first("_p", lambda k: F.col(f"_p{k}")), first("_p", F.lit)
+    nxt, ahead = first("_n", lambda k: F.col(f"_n{k}")), first("_n", F.lit)
+    rest = reduce(lambda x, y: x + y, [F.col(f"_a{k}") for k in near])
+    line = prev + (nxt - prev) * back / (back + ahead)
+    tail = nxt.isNull() & (rest < max_len) & (back + rest <= max_len)
+    value = F.when(F.col(col).isNotNull(), F.col(col)).when(back + ahead - 1 <= max_len, line).when(tail, prev)
+    return out.withColumn(col, value).drop(*[f"_{s}{k}" for s in "pna" for k in near])
 
 
 def is_night(datehour: Column) -> Column:
@@ -95,7 +100,8 @@ def neighbour_mean(df: DataFrame, col: str, target: str = "neighbour_mean") -> D
     """Mean of the last and the next known value; at the edges the only known one."""
     past = F.last(col, ignorenulls=True).over(by_hour().rowsBetween(*LEAD_IN))
     nxt = F.last(col, ignorenulls=True).over(backward("station"))
-    out = df.withColumn("_past", past).withColumn("_next", nxt)
+    # the descending sort comes first: later steps go on in the ascending order
+    out = df.withColumn("_next", nxt).withColumn("_past", past)
     mean = (F.coalesce("_past", "_next") + F.coalesce("_next", "_past")) / 2
     return out.withColumn(target, mean).drop("_past", "_next")
 

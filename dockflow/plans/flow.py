@@ -11,7 +11,7 @@ from dockflow.operators.dedup import station_dim
 from dockflow.operators.filters import WEATHER_COLUMNS, drop_incomplete, fix_types, select_flow
 from dockflow.operators.grid import add_delta, by_hour, densify, hourly_observations
 from dockflow.operators.outliers import drop_outliers
-from dockflow.operators.rebuild import rebuild_long_gaps, rebuild_short_gaps
+from dockflow.operators.rebuild import interpolate_night, rebuild_long_gaps
 from dockflow.operators.weather import complete_weather, join_weather
 from dockflow.session import scratch_path
 from dockflow.sources.tables import write_and_read
@@ -22,10 +22,10 @@ def stage_tables(df: DataFrame) -> DataFrame:
     return write_and_read(df, scratch_path(df.sparkSession, "stage"))
 
 
-def dense_series(hourly: DataFrame) -> DataFrame:
+def dense_series(hourly: DataFrame, max_gap: int = 0) -> DataFrame:
     """Dense hourly stock and delta of every station, without the attributes: the windows of
     the reconstruction sort these rows several times, so they are kept narrow."""
-    return add_delta(densify(hourly.select("station", "datehour", "bikes")))
+    return add_delta(densify(hourly.select("station", "datehour", "bikes"), max_gap=max_gap))
 
 
 def station_coverage(hourly: DataFrame) -> DataFrame:
@@ -48,12 +48,12 @@ def build_station_flow(
     placement by station serves every window and the join of the station attributes.
     """
     hourly = stage(hourly_observations(status))
-    flow = dense_series(hourly)
+    flow = dense_series(hourly, max_gap=2 if reconstruct else 0)
     if drop_stations:
         counts = station_coverage(hourly)
         flow = drop_outliers(flow, "station", legacy=legacy_outliers, stage=stage, counts=counts)
     if reconstruct:
-        flow = rebuild_short_gaps(flow)
+        flow = add_delta(interpolate_night(flow))
     if drop_days:
         dated = flow.withColumn("date", F.to_date("datehour"))
         flow = drop_outliers(dated, "date", legacy=legacy_outliers, stage=stage).drop("date")
