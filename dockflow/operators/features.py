@@ -65,11 +65,6 @@ def index_apply(df: DataFrame, dictionary: DataFrame, col: str) -> DataFrame:
     return out.withColumn(f"{col}_index", F.coalesce(f"{col}_index", F.lit(-1)))
 
 
-def geo_fit(df: DataFrame) -> DataFrame:
-    """South-west corner and the metre bounds measured from it."""
-    return minmax_fit(df, ["lat", "lon"])
-
-
 def geo_features(df: DataFrame) -> DataFrame:
     """Position in metres from the south-west corner, scaled to [0, 1]."""
     metres = to_metres(df)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dockflow.functions import days, numeric, timefn
 from dockflow.operators import dedup, filters, grid, outliers, rebuild, weather as wx_ops
 from dockflow.registry.base import (
-    BASIC, COMPLETE_WEATHER, COPIED, DENSE, FILLED, FLOW, FLOW_VALUES, HOURLY, MEDIANS, REBUILT, STATUS, WEATHER,
+    COMPLETE_WEATHER, COPIED, DENSE, FILLED, FLOW, HOURLY, MEDIANS, REBUILT, STATUS, WEATHER,
     calendar_sql, calendars, copied_status, flow, fresh_flow, interp_sql, night_sql, query, r6, rounded, s6, status,
     stored, table, weather, HOLIDAYS, BREAKS, _between, _dates,
 )

@@ -17,7 +17,7 @@ from dockflow.registry.base import (
 from dockflow.registry.cleaning import HOURLY_FORECAST, WX_COLS, forecast
 from dockflow.sources.tables import last_days
 
-# Requests: every flow station and, from the orders, days on both sides of the newest flow hour.
+# Requests: station-hours on both sides of the newest flow hour.
 REQUEST = FLOW + """, req AS (
   SELECT DISTINCT station, datehour + INTERVAL 5 DAY AS datehour FROM flow
   WHERE datehour >= (SELECT max(datehour) FROM flow) - INTERVAL 10 DAY)"""
@@ -286,8 +286,8 @@ WEIGHTED = SCORED + MARGINS.format(col="delta", src="flow") + """, weighted AS (
 
 
 def flow_margins(spark, sf):
-    m = margins(flow(spark, sf))
-    return m.select("low").scalar(), m.select("high").scalar()
+    edge = margins(flow(spark, sf)).select(F.struct("low", "high").alias("edge")).scalar()
+    return edge.getField("low"), edge.getField("high")
 
 
 def weighted(spark, sf) -> DataFrame:

@@ -11,7 +11,7 @@ from dockflow.registry.base import (
     DENSE, FLOW, FLOW_VALUES, HEALTH, MARGINS, PREDICTIONS, SCORED, flow, predictions, query, r6, rounded, s4, s6,
     scored, status, stored, table,
 )
-from dockflow.registry.cleaning import B02_COLUMNS, dense
+from dockflow.registry.cleaning import dense
 from dockflow.registry.features import flow_margins
 from dockflow.sources import tables
 
@@ -157,11 +157,7 @@ COUNTED = ["customer", "events", "lineitem", "orders", "supplier"]
 
 @query("e17_table_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in COUNTED))
 def _(spark, sf):
-    return rep_counts({t: table(spark, sf, t) for t in COUNTED})
-
-
-def rep_counts(frames) -> DataFrame:
-    return tables.table_counts(frames)
+    return tables.table_counts({t: table(spark, sf, t) for t in COUNTED})
 
 
 STATION_HOURS = DENSE + ", known AS (SELECT datehour, count(DISTINCT station) AS n_stations FROM dense WHERE bikes IS NOT NULL GROUP BY 1)"

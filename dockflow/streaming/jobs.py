@@ -17,8 +17,6 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from dockflow.sources.status import parse_status
 from dockflow.sources.tables import load_table
 
-WINDOW_COLUMNS = ["station", "datehour", "status_id", "bikes", "dt"]
-
 
 def landed_tables(spark: SparkSession, path: str, schema: str, glob: str | None = None, max_files: int = 1000) -> DataFrame:
     """Stream of Parquet files landing in a folder, a bounded number per batch."""
