@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dockflow.llm import chunk_dedup, exact_dedup, mixing, ngram_join, packing, pii, quality, secrets, token_counts
+from dockflow.llm import chunk_dedup, exact_dedup, mixing, ngram_join, packing, pii, quality, secrets, suffix_dedup, token_counts
 from dockflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +65,8 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.dedup_chunks(documents(spark, sf_dir))
+
+
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_suffixes(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
