@@ -26,6 +26,37 @@ def hour_index(col: Column) -> Column:
     return F.unix_date(F.to_date(col)).cast("long") * 24 + F.hour(col)
 
 
+def micros(col: Column) -> Column:
+    """Microseconds since 1970-01-01 on the column's own clock."""
+    seconds = F.extract(F.lit("SECOND"), col) * 1_000_000
+    return hour_index(col) * 3_600_000_000 + F.minute(col).cast("long") * 60_000_000 + seconds.cast("long")
+
+
+def as_instant(col: Column) -> Column:
+    """The wall clock as an instant, read as UTC: what streams need for watermarks, whatever the session zone."""
+    return F.timestamp_micros(micros(col))
+
+
+def as_clock(col: Column) -> Column:
+    """An instant back to its UTC wall clock."""
+    origin = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+    us = F.unix_micros(col)
+    days = F.floor(us / 86_400_000_000).cast("int")
+    seconds = (F.pmod(us, F.lit(86_400_000_000)).cast("decimal(18,0)") / 1_000_000).cast("decimal(18,6)")
+    return origin + F.make_dt_interval(days, F.lit(0), F.lit(0), seconds)
+
+
+def arrival_key(at: str = "dt", number: str | None = "status_id") -> Column:
+    """Order of arrival as one fixed-width number, which hash aggregates hold where a struct would make them sort.
+
+    Ids fill less than the 2 x 10^19 steps between two microseconds; a null id comes before the others.
+    """
+    clock = micros(F.col(at)).cast("decimal(18,0)") * F.expr("20000000000000000000BD")
+    if number is None:
+        return clock.cast("decimal(38,0)")
+    return (clock + F.coalesce(F.col(number).cast("decimal(19,0)"), F.expr("-9300000000000000000BD"))).cast("decimal(38,0)")
+
+
 def epoch_to_ts(col: Column) -> Column:
     """Epoch seconds to a UTC timestamp without zone."""
     days = F.floor(col / 86400).cast("int")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -22,6 +24,8 @@ CLUSTER_RANGE = range(25, 126)
 REGION_RANGE = range(10, 21)
 CLUSTER_DAYS = 29
 
+FITS_AT_A_TIME = 8
+
 
 def cluster_features(df: DataFrame, keep_incomplete: bool = False) -> DataFrame:
     """Position in metres and mean peaks per station over the last four weeks.
@@ -39,11 +43,19 @@ def _fit(features: DataFrame, k: int):
 
 
 def silhouette_sweep(features: DataFrame, ks: Iterable[int]) -> DataFrame:
-    """(k, score) of every candidate; a candidate not below the number of stations is left out,
-    as a silhouette needs at least one shared cluster."""
+    """(k, score) of every candidate. A silhouette needs two clusters and at least one shared one, so the
+    score of a candidate outside 2 .. number of stations - 1 is null.
+
+    The fits are independent and small: some run at a time, each as its own Spark jobs.
+    """
     spark, n = features.sparkSession, features.count()
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="label")
-    rows = [(k, float(evaluator.evaluate(_fit(features, k).transform(features)))) for k in ks if 1 < k < n]
+
+    def score(k: int) -> tuple[int, float | None]:
+        return k, float(evaluator.evaluate(_fit(features, k).transform(features))) if 1 < k < n else None
+
+    with ThreadPoolExecutor(FITS_AT_A_TIME) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(score), ks))
     return spark.createDataFrame(rows, "k int, score double")
 
 
@@ -51,14 +63,15 @@ def cluster_stations(
     df: DataFrame, ks: Iterable[int] = CLUSTER_RANGE, region_ks: Iterable[int] = REGION_RANGE,
     keep_incomplete: bool = False,
 ) -> DataFrame:
-    """(station, cluster, metacluster) for the best-scoring fine and regional clusterings."""
+    """(station, cluster, metacluster) for the best-scoring fine and regional clusterings.
+
+    Where no candidate has a score, as in a network smaller than all of them, the smallest one is used.
+    """
     features = cluster_features(df, keep_incomplete)
     labels = features.select("station", "lat", "lon")
     for name, candidates in (("cluster", ks), ("metacluster", region_ks)):
         best = best_candidate(silhouette_sweep(features, candidates)).first()
-        if best is None or best["k"] is None:
-            raise ValueError(f"no usable number of clusters for {name}: too few stations")
-        fitted = _fit(features, best["k"]).transform(features).select("station", F.col("label").alias(name))
+        fitted = _fit(features, best["k"] if best and best["k"] is not None else min(candidates)).transform(features).select("station", F.col("label").alias(name))
         labels = labels.join(fitted, "station")
     return labels
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.functions.timefn import hour_floor
+from dockflow.functions.timefn import arrival_key, hour_floor
 
 COPY_KEYS = ["dt", "bikes", "capacity", "station"]
 
@@ -51,11 +51,16 @@ def duplicate_report(df: DataFrame) -> DataFrame:
 
 
 def station_dim(df: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """Latest attributes per station."""
-    order = order or ["dt", "status_id"]
+    """Latest attributes per station.
+
+    The log is first reduced to its distinct attributes, a hash aggregate with a fixed-width buffer; only
+    that small table is reduced by structs.
+    """
+    at, number = (*(order or ["dt", "status_id"]), None)[:2]
     attrs = [c for c in ("lat", "lon", "name", "capacity") if c in df.columns]
-    last = F.max_by(F.struct(*attrs), F.struct(*order)).alias("_last")
-    return df.groupBy("station").agg(last).select("station", "_last.*")
+    seen = df.groupBy("station", *attrs).agg(F.max(arrival_key(at, number)).alias("_key"))
+    last = F.max_by(F.struct(*attrs), "_key").alias("_last")
+    return seen.groupBy("station").agg(last).select("station", "_last.*")
 
 
 def fix_capacity(df: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dockflow.functions.timefn import ONE_HOUR, hour_floor, hour_index
+from dockflow.functions.timefn import ONE_HOUR, arrival_key, hour_floor, hour_index
+from dockflow.operators.dedup import station_dim
 from dockflow.session import shuffle_width
 
 ATTRIBUTES = ["lat", "lon", "name", "capacity"]
@@ -56,6 +57,7 @@ def densify(hourly: DataFrame, value: str = "bikes", max_gap: int = 0) -> DataFr
     here without another window: linear between two observations, repeated after the last one.
     """
     attrs = [c for c in ATTRIBUTES if c in hourly.columns]
+    hourly = hourly.filter("station is not null and datehour is not null")
     bounds = hour_bounds(hourly)
     w = by_hour()
     step = F.expr(ONE_HOUR)
@@ -109,29 +111,29 @@ def add_delta_log(df: DataFrame, value: str = "bikes", target: str = "delta") ->
 def reduce_log(status: DataFrame) -> DataFrame:
     """Raw log to its hourly observations in a single pass.
 
-    One aggregate, combined map-side, yields per station and hour the first row's stock, the
-    largest stock and the latest attributes. Exact copies share their hour and never win over
-    the original, so dropping them first would change nothing.
+    One aggregate, combined map-side in a hash table, yields per station and hour the first row's stock and
+    whether that row is complete. Exact copies share their hour and never win over the original, so dropping
+    them first would change nothing. Rows without a time or a station belong to no hour.
     """
-    arrival = F.struct("dt", "status_id")
-    first = F.struct("bikes", "lat", "lon", "name")
-    return status.groupBy("station", hour_floor(F.col("dt")).alias("datehour")).agg(
-        F.min_by(first, arrival).alias("first"),
-        F.max("bikes").alias("top"),
-        F.max_by(F.struct("lat", "lon", "name"), arrival).alias("last"),
+    key = arrival_key()
+    complete = F.col("bikes").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("name").isNotNull()
+    return dated(status).groupBy("station", hour_floor(F.col("dt")).alias("datehour")).agg(
+        F.min_by("bikes", key).alias("bikes"), F.min_by(complete, key).alias("complete"),
     )
 
 
+def dated(status: DataFrame) -> DataFrame:
+    return status.filter("dt is not null and station is not null")
+
+
 def hourly_observations(status: DataFrame) -> DataFrame:
     """Complete hourly observations (station, datehour, bikes, lat, lon, name, capacity).
 
     The stock is the hour's first report, dropped when that report is incomplete. Capacity is
     the station's largest stock in any report and its attributes are the latest ones.
     """
-    reduced = reduce_log(status).repartition(shuffle_width(status.sparkSession), "station")
-    whole = W.partitionBy("station").orderBy("datehour").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    placed = reduced.withColumns({"last": F.last("last").over(whole), "top": F.max("top").over(whole)})
-    return placed.na.drop(subset=["first.bikes", "first.lat", "first.lon", "first.name"]).select(
-        "station", "datehour", F.col("first.bikes").cast("double").alias("bikes"),
-        "last.lat", "last.lon", "last.name", F.col("top").cast("double").alias("capacity"),
-    )
+    log = dated(status)
+    top = log.groupBy("station").agg(F.max("bikes").cast("double").alias("capacity"))
+    dim = station_dim(log.drop("capacity")).join(top, "station")
+    first = reduce_log(log).filter("complete").select("station", "datehour", F.col("bikes").cast("double").alias("bikes"))
+    return first.join(dim, "station").select("station", "datehour", "bikes", "lat", "lon", "name", "capacity")

@@ -20,7 +20,7 @@ from dockflow.plans.flow import build_flow
 from dockflow.plans.pipeline import FeaturePipeline, PipelineConfig
 from dockflow.session import shuffle_width
 from dockflow.sources.status import append_batches
-from dockflow.sources.tables import append_status, load_table, newer_than, recent_slice, save_table, write_stats
+from dockflow.sources.tables import append_status, append_weather, load_table, newer_than, publish, recent_slice, save_table, write_stats
 
 
 @dataclass
@@ -38,8 +38,8 @@ def merged_log(raw: DataFrame, incoming: DataFrame) -> DataFrame:
 def refresh(
     spark: SparkSession, root: str, incoming: DataFrame, weather: DataFrame, cal: Calendars, days: int = 30, **options,
 ) -> DataFrame:
-    """Append newer rows to the stored log, rebuild the flow table from the log, and save the
-    flow, its 7-day slice and its statistics.
+    """Append newer rows to the stored log and the weather to its log, rebuild the flow table from both, and
+    publish the flow, its 7-day slice and this refresh's statistics.
 
     Gap handling looks back and ahead within a station, so the flow is rebuilt from the log and
     never patched by day. The log is written per day; a re-run of a failed refresh appends
@@ -53,13 +53,13 @@ def refresh(
             raise
         fresh = incoming
     append_status(fresh, log)
-    flow = build_flow(
-        load_table(spark, log).drop("day"), weather, cal.holidays, cal.breaks, cal.uni_breaks, **options
-    )
-    save_table(flow, f"{root}/flow")
-    stored = load_table(spark, f"{root}/flow")
-    save_table(recent_slice(stored), f"{root}/flow_recent")
-    write_stats(profile_report(stored, days), f"{root}/stats")
+    reports = load_table(spark, log).drop("day")
+    mark = reports.agg(F.date_format(F.max("dt"), "yyyyMMddHH").alias("mark")).first()["mark"]
+    known = append_weather(weather, f"{root}/weather", f"h{mark}")
+    flow = build_flow(reports, known, cal.holidays, cal.breaks, cal.uni_breaks, **options)
+    stored = publish(flow, f"{root}/flow")
+    publish(recent_slice(stored), f"{root}/flow_recent")
+    write_stats(profile_report(stored, days), f"{root}/stats", f"h{mark}")
     return stored
 
 

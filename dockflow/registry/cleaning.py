@@ -11,7 +11,7 @@ from dockflow.functions import days, numeric, timefn
 from dockflow.operators import dedup, filters, grid, outliers, rebuild, weather as wx_ops
 from dockflow.registry.base import (
     COMPLETE_WEATHER, COPIED, DENSE, FILLED, FLOW, HOURLY, MEDIANS, REBUILT, STATUS, WEATHER,
-    calendar_sql, calendars, copied_status, flow, fresh_flow, interp_sql, night_sql, query, r6, rounded, s6, status,
+    calendar_sql, calendars, copied_status, flow, fresh_flow, interp_sql, outlier_sql, night_sql, query, r6, rounded, s6, status,
     stored, table, weather, HOLIDAYS, BREAKS, _between, _dates,
 )
 from dockflow.session import scratch_path
@@ -400,6 +400,11 @@ def _(spark, sf):
     return outliers.drop_outliers(dense(spark, sf).withColumn("date", F.to_date("datehour")), "date", k=0.5)
 
 
+@query("e04_drop_outlier_stations", f"WITH {DENSE}{outlier_sql('dense', 'kept', 'station')} SELECT * FROM kept")
+def _(spark, sf):
+    return outliers.drop_outliers(dense(spark, sf), "station")
+
+
 @query("e04_drop_outlier_stations_legacy", f"""WITH {DENSE} SELECT * FROM dense WHERE station IN (SELECT station FROM dense WHERE delta IS NOT NULL)""")
 def _(spark, sf):
     return outliers.drop_outliers(dense(spark, sf), "station", legacy=True)

@@ -10,26 +10,23 @@ from pyspark.sql import functions as F
 from dockflow.operators import clusters, filters, lags, models
 from dockflow.plans import jobs
 from dockflow.plans.pipeline import FeaturePipeline, PipelineConfig
-from dockflow.registry.base import calendars, flow, query, scored, status, stored, weather
+from dockflow.registry.base import FLOW, FLOW_VALUES, calendars, flow, query, rounded, scored, status, stored, weather
 from dockflow.registry.features import shifted_forecast
 from dockflow.session import scratch_path
 from dockflow.sources.tables import load_table
 
-# Candidates sized for the test networks, the smallest of which has 15 stations.
-TEST_KS = [3, 5, 8]
-TEST_REGION_KS = [2, 3]
 SPLIT = date(2024, 1, 24)
 
 _RETRAINED: dict[tuple[str, str], str] = {}
 
 
 def labels(spark, sf) -> DataFrame:
-    return stored(spark, sf, "labels", lambda: clusters.cluster_stations(flow(spark, sf), TEST_KS, TEST_REGION_KS))
+    return stored(spark, sf, "labels", lambda: clusters.cluster_stations(flow(spark, sf)))
 
 
 def config() -> PipelineConfig:
     return PipelineConfig(
-        encode_time={"hour": 24, "weekday": 7, "month": 12}, cluster_ks=TEST_KS, region_ks=TEST_REGION_KS
+        encode_time={"hour": 24, "weekday": 7, "month": 12}
     )
 
 
@@ -39,7 +36,7 @@ def retrained(spark, sf) -> str:
     if key not in _RETRAINED:
         path = scratch_path(spark, "model")
         _, train, _ = filters.time_split(flow(spark, sf), split=SPLIT)
-        jobs.retrain(train, path, config(), "trees", maxIter=5)
+        jobs.retrain(train, path, config(), "trees")
         _RETRAINED[key] = path
     return _RETRAINED[key]
 
@@ -58,7 +55,7 @@ def _(spark, sf):
 
 @query("j06_silhouette_sweep")
 def _(spark, sf):
-    return clusters.silhouette_sweep(clusters.cluster_features(flow(spark, sf)), TEST_KS)
+    return clusters.silhouette_sweep(clusters.cluster_features(flow(spark, sf)), clusters.CLUSTER_RANGE)
 
 
 @query("j07_cluster_borders")
@@ -82,7 +79,7 @@ def _(spark, sf):
 
 @query("j11_fit_flow_trees")
 def _(spark, sf):
-    return _fitted(spark, sf, "trees", maxIter=5)
+    return _fitted(spark, sf, "trees")
 
 
 def _fitted(spark, sf, kind: str, **params) -> DataFrame:
@@ -98,7 +95,7 @@ def _(spark, sf):
     _, train, test = filters.time_split(rows, split=date(2024, 1, 28))
     features = [c if c != "delta_pred" else "season" for c in MODEL_FEATURES]
     return models.compare_models(
-        train, test, features, baselines={"zero": F.lit(0.0), "season": F.col("season")}, maxIter=5
+        train, test, features, baselines={"zero": F.lit(0.0), "season": F.col("season")}
     )
 
 
@@ -143,11 +140,11 @@ def _(spark, sf):
     return load_table(spark, f"{retrained(spark, sf)}/stations")
 
 
-@query("a13_refresh_job")
+@query("a13_refresh_job", f"WITH {FLOW} SELECT * FROM flow")
 def _(spark, sf):
     """Two refreshes: half of the log, then everything up to now."""
     root, s = scratch_path(spark, "refresh"), status(spark, sf)
     wx, cal = weather(spark, sf), calendars(spark)
     half = F.lit("2024-01-15 07:30:00").cast("timestamp_ntz")
     jobs.refresh(spark, root, s.filter(F.col("dt") < half), wx, cal, days=5)
-    return jobs.refresh(spark, root, s, wx, cal, days=15)
+    return rounded(jobs.refresh(spark, root, s, wx, cal, days=15), *FLOW_VALUES)

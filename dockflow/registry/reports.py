@@ -135,7 +135,7 @@ def _(spark, sf):
     from dockflow.session import scratch_path
 
     path = scratch_path(spark, "stats")
-    tables.write_stats(stats(spark, sf), path)
+    tables.write_stats(stats(spark, sf), path, "h2024013100")
     return rep.stats_to_long(spark.read.text(f"{path}/document"), "value")
 
 
@@ -152,7 +152,10 @@ def _(spark, sf):
     return rep.last_hour_counts(status(spark, sf))
 
 
-COUNTED = ["customer", "events", "lineitem", "orders", "supplier"]
+COUNTED = [
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders",
+    "pages", "part", "region", "supplier",
+]
 
 
 @query("e17_table_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in COUNTED))

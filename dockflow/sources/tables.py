@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,11 +14,11 @@ from dockflow.functions.timefn import hour_floor
 def append_status(df: DataFrame, path: str) -> None:
     """Append status rows to the log, one folder per day so that later reads prune by date.
 
-    Rows are first spread over (day, salt) so a day is written by a few tasks instead of every
-    task opening every day, and no task holds a whole busy day.
+    Rows are rebalanced by day before they are written: few tasks open a day, and adaptive execution splits
+    a busy one by its measured size.
     """
-    salted = df.withColumns({"day": F.to_date("dt"), "_salt": F.pmod(F.xxhash64("station", "dt"), F.lit(4))})
-    salted.repartition("day", "_salt").drop("_salt").write.mode("append").partitionBy("day").parquet(path)
+    dated = df.withColumn("day", F.to_date("dt"))
+    dated.hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(path)
 
 
 def save_table(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
@@ -25,6 +28,44 @@ def save_table(df: DataFrame, path: str, partition_by: str | None = None, mode:
     writer.parquet(path)
 
 
+def publish(df: DataFrame, path: str) -> DataFrame:
+    """Write a new version of a table and switch to it; readers see the old one until the new one is complete.
+
+    The switch is one appended record, so a crash in between leaves the old version current.
+    """
+    spark = df.sparkSession
+    version = uuid.uuid4().hex
+    save_table(df, f"{path}/versions/{version}")
+    number = spark.read.schema("number long, version string").json(f"{path}/published").count() if _exists(spark, f"{path}/published") else 0
+    spark.range(1).select(F.lit(number).cast("long").alias("number"), F.lit(version).alias("version")).write.mode("append").json(f"{path}/published")
+    return current_table(spark, path)
+
+
+def current_table(spark: SparkSession, path: str) -> DataFrame:
+    """The published version of a table."""
+    newest = spark.read.schema("number long, version string").json(f"{path}/published").orderBy(F.desc("number")).first()
+    return load_table(spark, f"{path}/versions/{newest['version']}")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return False
+    return True
+
+
+def append_weather(df: DataFrame, path: str, loaded: str) -> DataFrame:
+    """Keep the hourly weather of every refresh; the table read back holds each hour's latest load."""
+    save_table(df, f"{path}/loaded={loaded}")
+    stored = load_table(df.sparkSession, path)
+    values = [c for c in df.columns if c != "datehour"]
+    latest = F.max_by(F.struct(*values), F.col("loaded").cast("string")).alias("_w")
+    return stored.groupBy("datehour").agg(latest).select("datehour", "_w.*").select(*df.columns)
+
+
 def load_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -71,10 +112,20 @@ def stats_document(stats: DataFrame) -> DataFrame:
     return per_selection.agg(F.to_json(pack("selection", F.col("m"))).alias("document"))
 
 
-def write_stats(stats: DataFrame, path: str) -> None:
-    """Write the statistics both as a long table and as the JSON document."""
-    save_table(stats, f"{path}/long")
-    stats_document(load_table(stats.sparkSession, f"{path}/long")).write.mode("overwrite").text(f"{path}/document")
+def write_stats(stats: DataFrame, path: str, refreshed: str) -> None:
+    """Write the statistics of one refresh both as a long table and as the JSON document, beside the earlier ones.
+
+    ``refreshed`` names the refresh by its newest hour, as hYYYYMMDDHH; a repeated refresh replaces its own part.
+    """
+    save_table(stats, f"{path}/long/refreshed={refreshed}")
+    document = stats_document(stats.sparkSession.read.parquet(f"{path}/long/refreshed={refreshed}"))
+    document.write.mode("overwrite").text(f"{path}/document/refreshed={refreshed}")
+
+
+def stats_history(spark: SparkSession, path: str) -> DataFrame:
+    """Statistics of every refresh: datehour (the newest hour it saw) and the long columns."""
+    hour = F.substring(F.col("refreshed"), 2, 10)
+    return load_table(spark, f"{path}/long").withColumn("datehour", F.to_timestamp_ntz(hour, F.lit("yyyyMMddHH"))).drop("refreshed")
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Streaming forms of ingest, de-duplication, hourly reduction, health and refresh.
 
 Event time is ``timestamp`` inside the streams, as watermarks require it, and ``timestamp_ntz``
-in the tables. Every job takes the trigger from its caller; ``available_now`` drains what has
+in the tables; the clock is read as UTC both ways, so no result depends on the session zone. Every job takes the trigger from its caller; ``available_now`` drains what has
 landed and stops, as the hourly pull does.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from dockflow.functions.timefn import as_clock, as_instant
 from dockflow.sources.status import parse_status
 from dockflow.sources.tables import load_table
 
@@ -33,7 +34,7 @@ def ingest_stream(spark: SparkSession, path: str, max_files: int = 1000) -> Data
 
 def event_time(df: DataFrame, delay: str = "2 hours") -> DataFrame:
     """Watermark on ``event_time``, the report time as an instant."""
-    return df.withColumn("event_time", F.col("dt").cast("timestamp")).withWatermark("event_time", delay)
+    return df.withColumn("event_time", as_instant(F.col("dt"))).withWatermark("event_time", delay)
 
 
 def dedup_stream(df: DataFrame, delay: str = "2 hours", keys: tuple[str, ...] = ("dt", "bikes", "capacity", "station")) -> DataFrame:
@@ -45,7 +46,7 @@ def hourly_stream(df: DataFrame, delay: str = "2 hours") -> DataFrame:
     """First report per station and hour, emitted once the hour is closed."""
     first = F.min_by(F.struct("status_id", "bikes", "dt"), F.struct("dt", "status_id")).alias("first")
     hourly = event_time(df, delay).groupBy("station", F.window("event_time", "1 hour").alias("w")).agg(first)
-    return hourly.select("station", F.col("w.start").cast("timestamp_ntz").alias("datehour"), "first.*")
+    return hourly.select("station", as_clock(F.col("w.start")).alias("datehour"), "first.*")
 
 
 def health_stream(df: DataFrame, delay: str = "2 hours") -> DataFrame:
@@ -60,43 +61,68 @@ def health_stream(df: DataFrame, delay: str = "2 hours") -> DataFrame:
     hourly = per_station.groupBy(F.window(F.col("w"), "1 hour").alias("h")).agg(
         F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_stations")
     )
-    return hourly.select(F.col("h.start").cast("timestamp_ntz").alias("datehour"), "n_rows", "n_stations")
+    return hourly.select(as_clock(F.col("h.start")).alias("datehour"), "n_rows", "n_stations")
 
 
 def profile_stream(health: DataFrame, delay: str = "2 hours") -> DataFrame:
     """Median and mean hourly station count over one-day windows sliding by the hour."""
-    timed = health.withColumn("event_time", F.col("datehour").cast("timestamp")).withWatermark("event_time", delay)
+    timed = health.withColumn("event_time", as_instant(F.col("datehour"))).withWatermark("event_time", delay)
     daily = timed.groupBy(F.window("event_time", "1 day", "1 hour").alias("w")).agg(
         F.count(F.lit(1)).alias("n_hours"), F.percentile("n_stations", F.lit(0.5)).alias("median_stations"),
         F.avg("n_rows").alias("mean_rows"),
     )
-    return daily.select(F.col("w.end").cast("timestamp_ntz").alias("window_end"), "n_hours", "median_stations", "mean_rows")
+    return daily.select(as_clock(F.col("w.end")).alias("window_end"), "n_hours", "median_stations", "mean_rows")
 
 
-def _deltas(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Differences of one station's hourly stocks, from the last stock of the earlier batches."""
-    rows = pd.concat(list(batches)).sort_values("datehour")
-    last = state.get[0] if state.exists else None
-    bikes = rows["bikes"].astype("float64")
-    prev = bikes.shift(1)
-    if last is not None:
-        prev.iloc[0] = last
-    state.update((float(bikes.iloc[-1]),))
-    yield pd.DataFrame(
-        {"station": key[0], "datehour": rows["datehour"], "bikes": bikes, "delta": bikes - prev}
-    )
+HOUR_MS = 3_600_000
+
 
+def _deltas(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Differences of one station's hourly stocks, in the order of the hours.
 
-def delta_stream(hourly: DataFrame) -> DataFrame:
-    """Flow against the station's last known stock, across micro-batches.
+    Rows wait in the state until the watermark has passed the end of their hour, so a late row takes its
+    place before its difference is made. A station that stays away loses its state after ``keep_ms``.
+    """
+    hours, stocks, last_hour, last, keep_ms = (*state.get,) if state.exists else ([], [], None, None, 0)
+    waiting = dict(zip(hours, stocks))
+    for rows in batches:
+        for hour, stock, keep in zip(rows["hour_ms"].tolist(), rows["bikes"].astype("float64").tolist(), rows["keep_ms"].tolist()):
+            keep_ms = keep
+            if last_hour is None or hour > last_hour:
+                waiting.setdefault(hour, stock)
+    mark = state.getCurrentWatermarkMs()
+    ready = sorted(h for h in waiting if h + HOUR_MS < mark)
+    out = []
+    for hour in ready:
+        stock = waiting.pop(hour)
+        out.append((key[0], hour, stock, None if last is None else stock - last))
+        last_hour, last = hour, stock
+    if waiting or (last_hour is not None and last_hour + keep_ms >= mark):
+        state.update((list(waiting), list(waiting.values()), last_hour, last, keep_ms))
+        due = min(waiting) + HOUR_MS if waiting else last_hour + keep_ms
+        state.setTimeoutTimestamp(max(due, mark + 1))
+    else:
+        state.remove()
+    yield pd.DataFrame(out, columns=["station", "hour_ms", "bikes", "delta"]).astype({"delta": "float64"})
+
+
+def delta_stream(hourly: DataFrame, delay: str = "2 hours", keep_days: int = 31) -> DataFrame:
+    """Flow against the station's previous known hour, emitted once the watermark has closed the hour.
 
     The input is the hourly table, one row per station and hour, so a station's share of a batch
-    is bounded by its hours however busy its raw log is. State is one number per station.
+    is bounded by its hours however busy its raw log is. The state holds the hours still open and the
+    last closed one; it ends when the station has been silent for ``keep_days``.
     """
-    return hourly.select("station", "datehour", "bikes").groupBy("station").applyInPandasWithState(
-        _deltas, "station string, datehour timestamp_ntz, bikes double, delta double", "bikes double", "append",
-        GroupStateTimeout.NoTimeout,
+    timed = hourly.select("station", "bikes", as_instant(F.col("datehour")).alias("event_time"))
+    timed = timed.withWatermark("event_time", delay).withColumns(
+        {"hour_ms": F.unix_millis("event_time"), "keep_ms": F.lit(keep_days * 24 * HOUR_MS)}
+    )
+    out = timed.groupBy("station").applyInPandasWithState(
+        _deltas, "station string, hour_ms long, bikes double, delta double",
+        "hours array<long>, stocks array<double>, last_hour long, last double, keep_ms long", "append",
+        GroupStateTimeout.EventTimeTimeout,
     )
+    return out.select("station", as_clock(F.timestamp_millis("hour_ms")).alias("datehour"), "bikes", "delta")
 
 
 def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:

@@ -10,6 +10,7 @@ from dockflow.plans.flow import build_flow
 from dockflow.registry import base
 from dockflow.registry import cleaning
 from dockflow.sources import status as status_src
+from dockflow.sources import tables
 
 
 def plan(df):
@@ -70,6 +71,14 @@ def test_extract_filter_and_columns_reach_the_scan(spark, sf):
     assert "poll_dt" not in text.split("ReadSchema")[1]
 
 
+def test_the_log_is_reduced_in_hash_tables(spark, sf):
+    log = base.status(spark, sf)
+    for df in (grid.reduce_log(log), dedup.station_dim(log)):
+        text = plan(df)
+        scan = text.rindex("HashAggregate")
+        assert "Sort" not in text[text.rindex("Exchange"):] and scan > text.rindex("Exchange"), "no sort below the exchange of the log"
+
+
 def test_dedup_combines_before_the_shuffle(spark, sf):
     text = plan(dedup.first_per_hour(base.status(spark, sf)))
     assert "partial_min_by" in text and "Window" not in text
@@ -81,13 +90,52 @@ def test_refresh_in_two_steps_equals_one(spark, sf, tmp_path):
     root = str(tmp_path / "data")
     jobs.refresh(spark, root, s.filter(F.col("dt") < cut), wx, cal, days=5)
     jobs.refresh(spark, root, s, wx, cal, days=15)
-    flow = spark.read.parquet(f"{root}/flow")
+    flow = tables.current_table(spark, f"{root}/flow")
     want = base.flow(spark, sf)
     got = base.rounded(flow, *base.FLOW_VALUES)
     assert got.select(want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
-    recent = spark.read.parquet(f"{root}/flow_recent")
+    recent = tables.current_table(spark, f"{root}/flow_recent")
     assert 0 < recent.count() < got.count()
-    assert spark.read.text(f"{root}/stats/document").count() == 1
+    assert spark.read.text(f"{root}/stats/document").count() == 2, "one document per refresh"
+    hours = tables.stats_history(spark, f"{root}/stats").select("datehour").distinct().collect()
+    assert len(hours) == 2 and all(r.datehour is not None for r in hours)
+
+
+def test_new_weather_alone_keeps_the_older_flow(spark, sf, tmp_path):
+    s, wx, cal = base.status(spark, sf), base.weather(spark, sf), base.calendars(spark)
+    cut = F.lit("2024-01-15 07:30:00").cast("timestamp_ntz")
+    root = str(tmp_path / "data")
+    jobs.refresh(spark, root, s.filter(F.col("dt") < cut), wx.filter(F.col("datehour") < cut), cal, days=5)
+    got = jobs.refresh(spark, root, s, wx.filter(F.col("datehour") >= cut), cal, days=15)
+    want = base.flow(spark, sf)
+    got = base.rounded(got, *base.FLOW_VALUES)
+    assert got.select(want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_stored_statistics_feed_the_shift_alert(spark, tmp_path):
+    for k, ks in enumerate([0.05, 0.3, 0.3, 0.3]):
+        rows = spark.createDataFrame([("5d", "kstest", "delta", ks), ("5d", "kstest", "temp", ks / 2)], "selection string, category string, metric string, value double")
+        tables.write_stats(rows, str(tmp_path), f"h202401010{k}")
+    history = tables.stats_history(spark, str(tmp_path)).filter("category = 'kstest'").select("datehour", "metric", F.col("value").alias("ks"))
+    fired = {r.datehour.hour: r for r in alerts.shift_alert(history).collect()}
+    assert len(fired) == 4 and fired[0].max_ks == 0.05
+
+
+def test_rows_without_time_or_station_leave_the_flow_unique(spark):
+    import datetime as dt
+
+    from dockflow.operators.grid import densify, hourly_observations
+
+    t = dt.datetime(2024, 1, 1)
+    hour = lambda n: t + dt.timedelta(hours=n)
+    schema = "status_id bigint, station string, bikes int, capacity int, lat double, lon double, name string, dt timestamp_ntz"
+    row = lambda i, s, at: (i, s, 5, 30, 48.0, 2.0, f"n{s}", at)
+    rows = [row(1, "a", None), row(2, "a", hour(0)), row(3, "a", None), row(4, "a", hour(5)), row(5, "b", None), row(6, "c", hour(3)), row(7, None, hour(2)), row(8, "c", None)]
+    dense = densify(hourly_observations(spark.createDataFrame(rows, schema)))
+    keys = [(r.station, r.datehour) for r in dense.collect()]
+    assert len(keys) == len(set(keys)) == 12 and {s for s, _ in keys} == {"a", "c"}
+    hourly = spark.createDataFrame([("a", None, 1.0), ("a", hour(1), 2.0), ("a", hour(3), 4.0), (None, hour(2), 1.0)], "station string, datehour timestamp_ntz, bikes double")
+    assert sorted(r.datehour for r in densify(hourly).collect()) == [hour(1), hour(2), hour(3)]
 
 
 @pytest.mark.parametrize("bad", ["median", "x"])

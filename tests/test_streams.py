@@ -44,18 +44,54 @@ def test_hourly_stream_equals_the_batch_on_closed_hours_over_many_batches(spark,
     assert sorted(map(str, got.collect())) == sorted(map(str, batch.select(key).collect()))
 
 
+HOUR_ROWS = "station string, datehour timestamp_ntz, bikes double"
+
+
+def run_deltas(spark, tmp_path, batches, **options):
+    """Land and drain the batches one after the other; {(station, hour): delta}."""
+    for rows in batches:
+        land(spark, tmp_path / "in", rows, HOUR_ROWS)
+        stream = jobs.landed_tables(spark, str(tmp_path / "in"), HOUR_ROWS, max_files=1)
+        jobs.run_to_table(jobs.delta_stream(stream, **options), str(tmp_path / "out"), str(tmp_path / "cp"))
+    return {(r.station, r.datehour): r.delta for r in load_table(spark, str(tmp_path / "out")).collect()}
+
+
 def test_delta_state_survives_a_restart(spark, tmp_path):
-    schema = "station string, datehour timestamp_ntz, bikes double"
-    args = (str(tmp_path / "in"), schema)
-    land(spark, tmp_path / "in", [("a", at(60), 7.0), ("a", at(0), 5.0), ("b", at(0), 1.0)], schema)
-    run = lambda: jobs.run_to_table(jobs.delta_stream(jobs.landed_tables(spark, *args, max_files=1)), str(tmp_path / "out"), str(tmp_path / "cp"))
-    run()
-    land(spark, tmp_path / "in", [("a", at(120), 4.0)], schema)
-    run()
-    got = {(r.station, r.datehour): r.delta for r in load_table(spark, str(tmp_path / "out")).collect()}
+    batches = [[("a", at(60), 7.0), ("a", at(0), 5.0), ("b", at(0), 1.0)], [("a", at(120), 4.0)], [("z", at(60 * 9), 0.0)]]
+    got = run_deltas(spark, tmp_path, batches)
     assert got == {("a", at(0)): None, ("a", at(60)): 2.0, ("a", at(120)): -3.0, ("b", at(0)): None}
 
 
+def test_late_rows_take_their_place(spark, tmp_path):
+    stock = {0: 5.0, 1: 6.0, 2: 9.0, 3: 10.0}
+    batches = [[("a", at(60 * h), stock[h]) for h in hours] for hours in ([0, 2], [1], [3])] + [[("z", at(60 * 9), 0.0)]]
+    assert run_deltas(spark, tmp_path, batches) == {("a", at(0)): None, ("a", at(60)): 1.0, ("a", at(120)): 3.0, ("a", at(180)): 1.0}
+
+
+def test_state_of_a_silent_station_ends(spark, tmp_path):
+    batches = [[("a", at(0), 5.0)], [("z", at(60 * 24 * 4), 0.0)], [("z", at(60 * 24 * 4 + 60), 0.0), ("a", at(60 * 24 * 4), 9.0)], [("z", at(60 * 24 * 5), 0.0)]]
+    got = run_deltas(spark, tmp_path, batches, keep_days=2)
+    assert got[("a", at(0))] is None and got[("a", at(60 * 24 * 4))] is None and got[("z", at(60 * 24 * 4 + 60))] == 0.0
+
+
+def test_streams_do_not_follow_the_session_zone(spark, tmp_path):
+    rows = [(1, "a", 5, 30, at(615)), (2, "a", 6, 30, at(590)), (3, "b", 7, 30, at(645)), (4, "a", 1, 30, at(60 * 30))]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for k, name in enumerate(["UTC", "Asia/Kolkata"]):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            land(spark, tmp_path / f"in{k}", rows)
+            stream = lambda: jobs.landed_tables(spark, str(tmp_path / f"in{k}"), SMALL)
+            jobs.run_to_table(jobs.hourly_stream(stream()), str(tmp_path / f"hours{k}"), str(tmp_path / f"cph{k}"))
+            jobs.run_to_table(jobs.health_stream(stream()), str(tmp_path / f"health{k}"), str(tmp_path / f"cpe{k}"))
+            hours = sorted((r.station, r.datehour) for r in load_table(spark, str(tmp_path / f"hours{k}")).collect())
+            assert hours == [("a", at(540)), ("a", at(600)), ("b", at(600))]
+            health = sorted((r.datehour, r.n_rows, r.n_stations) for r in load_table(spark, str(tmp_path / f"health{k}")).collect())
+            assert health == [(at(540), 1, 1), (at(600), 2, 2)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_refresh_rebuilds_touched_stations_from_the_whole_log(spark, tmp_path, sf):
     status, cal = base.status(spark, sf), base.calendars(spark)
     cut = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
