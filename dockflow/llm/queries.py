@@ -8,11 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockflow.llm import chunk_dedup, exact_dedup, mixing, ngram_join, packing, pii, quality, secrets, suffix_dedup, token_counts
+from dockflow.llm import chunk_dedup, exact_dedup, mixing, ngram_join, oracles, packing, pii, quality, secrets, suffix_dedup, token_counts
 from dockflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_mix_sources": oracles.MIX,
+    "op4_ngram_join": oracles.NEAR,
+    "op6_suffix_dedup": oracles.SUFFIXES,
+    "op8_quality_ledger": oracles.QUALITY,
+    "op10_exact_dedup": oracles.EXACT,
+}
 
 
 def query(fn: Callable) -> Callable:
