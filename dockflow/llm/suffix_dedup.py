@@ -1,40 +1,45 @@
 """Suffix-array dedup: bytes covered by a 50-byte string that also starts in an earlier document are removed.
 
 Windows of ``WINDOW`` bytes are dealt out by their minimiser, the least hash of the ``SEED``-byte strings inside: equal windows have equal
-minimisers, so they meet. Neighbouring windows with one minimiser travel as one string.
-1. Every task sends the minimisers of its documents, four bytes each, to shards; a shard answers with those that more than one document has.
-   What a slice of documents already knows to be repeated is announced once, so a frequent minimiser costs one entry a slice.
-2. Documents with answers cut out their strings; equal strings are pre-aggregated to the earliest document that has them.
-3. A minimiser with several different strings gets a suffix array: suffixes are grouped by their Lyndon prefix, groups are processed in descending
-   order with previous-smaller pointers, then each group's order is emitted from left to right, without recursive renaming. Suffixes with
-   equal first 50 bytes stand together; the earliest document of each such run owns it.
-   Beyond ``MAX_STRINGS`` strings of one minimiser the windows themselves are grouped, by a pre-aggregated shuffle.
-4. Strings bring their owners back to the documents, whose spans are merged and cut out.
-
-Order is by key, then by a hash of the text for rows with the same key and different texts; rows with the same key and text are one document
-and are treated alike; a null key ranks first. A null or empty text has no bytes. An empty table gives an empty result; other columns aren't read.
+minimisers, so they meet. Neighbouring windows with one minimiser form a stretch, named by a hash of its bytes.
+1. Texts are packed into slices of some megabytes, written once in buckets by slice, so later steps meet them without moving them again.
+2. Every slice sends each of its minimisers once, in eight bytes (minimiser, stretch name), with the least document that has it. A shard
+   answers where another document has it too: with that owner where all stretches are the same, else that they differ. A minimiser in a
+   third of all documents thus costs one entry a slice.
+3. Where stretches differ, their bytes are pre-aggregated by name and each minimiser's different stretches get one suffix array: suffixes are
+   grouped by their Lyndon prefix, groups are processed in descending order with previous-smaller pointers, then each group's order is emitted
+   from left to right, without recursive renaming. Suffixes with equal first 50 bytes stand together; the earliest document of each such run
+   owns it. Beyond ``MAX_STRINGS`` stretches of one minimiser the windows themselves are grouped, by a pre-aggregated shuffle.
+4. Spans go back to the slices, are merged and cut out.
+
+Order is by key. Rows with the same key are one document and don't remove each other's bytes; a null key ranks first. A null or empty text has
+no bytes. An empty table gives an empty result; other columns aren't read.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.llm.common import staged, texts_of
-from dockflow.session import shuffle_width
+from dockflow.session import scratch_path, shuffle_width
 
 WINDOW, SEED = 50, 24
 SPAN = WINDOW - SEED + 1
 MAX_RUN = 200
 MAX_STRINGS = 1000
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
+NO_KEY = -(1 << 63)
+DIFFER = NO_KEY
 _U = np.uint64
 _P = _U(0x9E3779B97F4A7C15)
+_P_INVERSE = _U(pow(int(_P), -1, 1 << 64))
 
 
 def _table() -> np.ndarray:
@@ -69,128 +74,189 @@ def minimisers(data: np.ndarray) -> np.ndarray:
     return np.minimum(h[:len(h) - (SPAN - size)], h[SPAN - size:])
 
 
-def runs(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(minimiser, first window, windows) of each run of windows with one minimiser, at most MAX_RUN long."""
-    if len(body) < WINDOW:
-        return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    least = minimisers(np.frombuffer(body, np.uint8))
-    starts = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1])
-    sizes = np.diff(np.append(starts, len(least)))
-    if (sizes > MAX_RUN).any():
-        starts = np.concatenate([np.arange(s, s + n, MAX_RUN) for s, n in zip(starts.tolist(), sizes.tolist())])
-        sizes = np.diff(np.append(starts, len(least)))
-    return least[starts], starts, sizes
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U(32))) * _U(0xD6E8FEB86659FD93)
+    return x ^ (x >> _U(29))
+
+
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([[_U(1)], np.full(n, base, _U)]))
+
+
+class Stretches:
+    """All stretches of a slice: owner (number of the document), at (in the blob), n (windows), least (minimiser), name."""
+
+    def __init__(self, blob: bytes, sizes: np.ndarray) -> None:
+        ends = np.cumsum(sizes)
+        self.begin = ends - sizes
+        empty = np.zeros(0, np.int64)
+        self.owner, self.at, self.n, self.least, self.name = empty, empty, empty, empty.astype(_U), empty.astype(_U)
+        if len(blob) < WINDOW or not (sizes >= WINDOW).any():
+            return
+        data = np.frombuffer(blob, np.uint8)
+        with np.errstate(over="ignore"):
+            least = minimisers(data)
+            inside = np.zeros(len(least) + 1, np.int8)
+            full = sizes >= WINDOW
+            np.add.at(inside, self.begin[full], 1)
+            np.add.at(inside, ends[full] - WINDOW + 1, -1)
+            valid = np.cumsum(inside[:-1]) > 0
+            first = valid.copy()
+            first[1:] &= (least[1:] != least[:-1]) | ~valid[:-1]
+            first[self.begin[full]] = True
+            starts = np.flatnonzero(first)
+            owner = np.searchsorted(ends, starts, side="right")
+            stop = np.minimum(np.append(starts[1:], len(least)), ends[owner] - WINDOW + 1)
+            if (stop - starts > MAX_RUN).any():
+                starts = np.concatenate([np.arange(a, b, MAX_RUN) for a, b in zip(starts.tolist(), stop.tolist())])
+                owner = np.searchsorted(ends, starts, side="right")
+                stop = np.minimum(np.append(starts[1:], len(least)), ends[owner] - WINDOW + 1)
+            sums = np.concatenate([[_U(0)], np.cumsum(BYTE[data] * powers(_P_INVERSE, len(data) - 1))])
+            size = stop - starts + WINDOW - 1
+            value = (sums[starts + size] - sums[starts]) * powers(_P, len(data))[starts]
+            self.name = mixed(value + size.astype(_U))
+        self.owner, self.at, self.n, self.least = owner, starts, stop - starts, least[starts]
+
+
+def codes(least: np.ndarray, shards: int) -> np.ndarray:
+    """Shard and 32 further bits of each minimiser: enough to tell shared ones from others, with few false alarms."""
+    return ((least % _U(shards)) << _U(32)) | ((least // _U(shards)) & _U(0xFFFFFFFF))
 
 
-def _slices(bodies: list[bytes]) -> Iterator[tuple[int, int]]:
-    at = size = 0
-    for k, body in enumerate(bodies):
-        size += len(body)
-        if size >= SLICE_BYTES:
-            yield at, k + 1
-            at, size = k + 1, 0
-    if at < len(bodies):
-        yield at, len(bodies)
+def _by_code(code: np.ndarray, name: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Per code: (code, entry with the least key, entries, least and greatest key, whether names differ), codes ascending."""
+    order = np.lexsort((key, code))
+    code, name, key = code[order], name[order], key[order]
+    starts = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+    ends = np.append(starts[1:], len(code)) if len(code) else starts
+    differ = np.maximum.reduceat(name, starts) != np.minimum.reduceat(name, starts) if len(code) else np.zeros(0, bool)
+    return code[starts], order[starts], key[starts], key[ends - 1], differ
 
 
-ASK, TELL, KNOWN = 0, 1, 2
-SENT = "shard int, kind int, ids binary, hashes binary, counts binary, values binary"
+def _batch(columns: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
 
 
-def codes(values: np.ndarray, shards: int) -> np.ndarray:
-    """Shard and 32 further bits of each minimiser: enough to tell shared ones from others, with few false alarms."""
-    return ((values % _U(shards)) << _U(32)) | ((values // _U(shards)) & _U(0xFFFFFFFF))
+def sliced(rows: DataFrame, buckets: int) -> DataFrame:
+    """Texts in slices: slice, doc_ids, sizes, blob; a table in buckets by slice below the shared folder."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            ids, bodies = batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist()
+            at = size = 0
+            for k, body in enumerate(bodies):
+                size += len(body)
+                if size >= SLICE_BYTES or k == len(bodies) - 1:
+                    blob = b"".join(bodies[at:k + 1])
+                    name = xxhash.xxh3_64_intdigest(repr(ids[at:k + 1]).encode() + blob) - (1 << 63)
+                    yield _batch({
+                        "slice": ([name], pa.int64()), "doc_ids": ([ids[at:k + 1]], pa.list_(pa.int64())),
+                        "sizes": ([[len(b) for b in bodies[at:k + 1]]], pa.list_(pa.int64())), "blob": ([squeeze.compress(blob)], pa.binary()),
+                    })
+                    at, size = k + 1, 0
+
+    path = scratch_path(rows.sparkSession, "slices")
+    table = "slices_" + path.rsplit("-", 1)[-1]
+    packed = rows.mapInArrow(pack, "slice long, doc_ids array<long>, sizes array<long>, blob binary")
+    packed.repartition(buckets, "slice").write.bucketBy(buckets, "slice").option("path", path).saveAsTable(table)
+    return rows.sparkSession.table(table)
+
 
+def _opened(batch: pa.RecordBatch) -> Iterator[tuple[int, list, np.ndarray, np.ndarray, bytes]]:
+    for name, ids, sizes, blob in zip(*(batch.column(c).to_pylist() for c in ("slice", "doc_ids", "sizes", "blob"))):
+        yield name, ids, np.array([NO_KEY if i is None else i for i in ids], np.int64), np.array(sizes, np.int64), zstandard.ZstdDecompressor().decompress(blob)
 
-def shared_minimisers(keyed: DataFrame, shards: int) -> DataFrame:
-    """id, hash, codes: for each document the minimisers that another document has too (a rare one may be a false alarm)."""
+
+ALONE, MORE, MIXED = 0, 1, 2
+
+
+def shared_minimisers(slices: DataFrame, shards: int) -> DataFrame:
+    """slice, codes, owners: the minimisers of a slice that another document has too, with the owner where all stretches are the same."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies = batch.column("text").cast(pa.large_binary()).to_pylist()
-            ids, hashes = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "hash"))
-            for a, b in _slices(bodies):
-                own = [np.unique(codes(runs(body)[0], shards)) for body in bodies[a:b]]
-                doc, code = np.repeat(np.arange(a, b), [len(c) for c in own]), np.concatenate(own)
-                once, where, often = np.unique(code, return_inverse=True, return_counts=True)
-                rows: list[tuple] = []
-
-                def asked(shard: int, kind: int, doc: np.ndarray, values: np.ndarray) -> None:
-                    docs, counts = np.unique(doc, return_counts=True)
-                    rows.append((shard, kind, ids[docs].tobytes(), hashes[docs].tobytes(), counts.astype("<u4").tobytes(), values.tobytes()))
-
-                local = often[where] > 1
-                if local.any():  # answered already; the shards get each code once
-                    asked(int(code[local][0] >> _U(32)), KNOWN, doc[local], code[local])
-                    told = once[often > 1]
-                    cut = np.searchsorted(told >> _U(32), np.arange(shards + 1))
-                    rows += [(s, TELL, b"", b"", b"", told[cut[s]:cut[s + 1]].astype("<u4").tobytes()) for s in range(shards) if cut[s] < cut[s + 1]]
-                doc, code = doc[~local], code[~local]
-                order = np.argsort(code >> _U(32), kind="stable")
-                doc, code = doc[order], code[order]
+            for name, _, keys, sizes, blob in _opened(batch):
+                s = Stretches(blob, sizes)
+                code, first, low, high, differ = _by_code(codes(s.least, shards), s.name, keys[s.owner])
+                flag = np.where(differ & (low != high), MIXED, np.where(low != high, MORE, ALONE)).astype(np.uint8)
                 cut = np.searchsorted(code >> _U(32), np.arange(shards + 1))
-                for s in range(shards):
-                    if cut[s] < cut[s + 1]:
-                        asked(s, ASK, doc[cut[s]:cut[s + 1]], code[cut[s]:cut[s + 1]].astype("<u4"))
-                types = (pa.int32(), pa.int32(), *[pa.binary()] * 4)
-                columns = zip(*rows) if rows else [()] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["shard", "kind", "ids", "hashes", "counts", "values"])
-
-    def reply(ids: np.ndarray, hashes: np.ndarray, doc: np.ndarray, code: np.ndarray) -> pa.RecordBatch:
-        docs, starts = np.unique(doc, return_index=True)
-        got = [c.tobytes() for c in np.split(code, starts[1:])]
-        return pa.RecordBatch.from_arrays([pa.array(ids[docs]), pa.array(hashes[docs]), pa.array(got, pa.binary())], names=["id", "hash", "codes"])
+                out: list[tuple] = []
+                for k in range(shards):
+                    part = slice(cut[k], cut[k + 1])
+                    if cut[k] < cut[k + 1]:
+                        order = np.argsort(low[part], kind="stable")
+                        docs, counts = np.unique(low[part], return_counts=True)
+                        stretch = s.name[first[part]][order].astype("<u4")
+                        out.append((k, name, docs.tobytes(), counts.astype("<u4").tobytes(), code[part][order].astype("<u4").tobytes(), stretch.tobytes(), flag[part][order].tobytes()))
+                columns = zip(*out) if out else [()] * 7
+                kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 5)
+                yield _batch(dict(zip(("shard", "slice", "keys", "counts", "codes", "names", "flags"), zip(columns, kinds))))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
         for batch in batches:
-            for shard, kind, *parts in zip(*(c.to_pylist() for c in batch.columns)):
-                ids, hashes, counts = (np.frombuffer(p, t) for p, t in zip(parts, ("<i8", "<i8", "<u4")))
-                doc = np.repeat(np.arange(len(ids)), counts)
-                if kind == KNOWN:
-                    yield reply(ids, hashes, doc, np.frombuffer(parts[3], "<u8"))
-                else:
-                    held.setdefault(shard, []).append((kind, ids, hashes, doc, np.frombuffer(parts[3], "<u4")))
+            for shard, name, keys, counts, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+                key = np.repeat(np.frombuffer(keys, "<i8"), np.frombuffer(counts, "<u4"))
+                held.setdefault(shard, []).append((name, key, *(np.frombuffer(x, t) for x, t in zip(rest, ("<u4", "<u4", "u1")))))
         for shard, rows in held.items():
-            values = np.concatenate([r[4] for r in rows])
-            weight = np.repeat([2 if r[0] == TELL else 1 for r in rows], [len(r[4]) for r in rows])
-            _, where = np.unique(values, return_inverse=True)
-            repeated = (np.bincount(where, weight) > 1)[where]
-            at = 0
-            for kind, ids, hashes, doc, own in rows:
-                hit = repeated[at:at + len(own)]
-                at += len(own)
-                if kind == ASK and hit.any():
-                    yield reply(ids, hashes, doc[hit], own[hit].astype(_U) | (_U(shard) << _U(32)))
-
-    sent = keyed.select("id", "hash", "text").mapInArrow(send, SENT)
-    return sent.repartition(shards, "shard").mapInArrow(answer, "id long, hash long, codes binary")
-
-
-def shared_strings(keyed: DataFrame, shared: DataFrame, shards: int) -> DataFrame:
-    """id, hash, at, minimiser, name, string: stretches of windows whose minimiser another document has."""
-    lists = shared.groupBy("id", "hash").agg(F.collect_list("codes").alias("codes"))
+            key, code, name, flag = (np.concatenate([r[k] for r in rows]) for k in (1, 2, 3, 4))
+            once, _, low, high, differ = _by_code(code, name, key)
+            where = np.searchsorted(once, code)
+            most = np.zeros(len(once), np.uint8)
+            np.maximum.at(most, where, flag)
+            shared = (low != high) | (most > ALONE)
+            owner = np.where(differ | (most == MIXED), DIFFER, low)
+            # A slice that has mixed stretches knows it; the owner's own slice needs no answer unless others there have the stretch too.
+            asks = shared[where] & (flag != MIXED) & ((owner[where] == DIFFER) | (flag == MORE) | (key != low[where]))
+            at, out = 0, []
+            for r in rows:
+                hit = np.flatnonzero(asks[at:at + len(r[1])])
+                if len(hit):
+                    out.append((r[0], (r[2][hit].astype(_U) | (_U(shard) << _U(32))).tobytes(), owner[where[at + hit]].tobytes()))
+                at += len(r[1])
+            columns = zip(*out) if out else [()] * 3
+            yield _batch(dict(zip(("slice", "codes", "owners"), zip(columns, (pa.int64(), pa.binary(), pa.binary())))))
+
+    sent = slices.mapInArrow(send, "shard int, slice long, keys binary, counts binary, codes binary, names binary, flags binary")
+    return sent.repartition(shards, "shard").mapInArrow(answer, "slice long, codes binary, owners binary")
+
+
+FOUND = "slice long, doc int, id long, at int, minimiser long, name long, string binary, spans binary"
+
+
+def found_stretches(slices: DataFrame, shared: DataFrame, shards: int) -> DataFrame:
+    """Two kinds of rows: the spans of a slice whose owner is known, packed, and single stretches whose minimiser has different ones."""
+    lists = shared.groupBy("slice").agg(F.collect_list(F.struct("codes", "owners")).alias("lists"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        names = ("slice", "doc", "id", "at", "minimiser", "name", "string", "spans")
         for batch in batches:
-            out: list[tuple] = []
-            for key, mark, body, lists in zip(batch.column("id").to_pylist(), batch.column("hash").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("codes").to_pylist()):
-                least, starts, sizes = runs(body)
-                hit = np.isin(codes(least, shards), np.frombuffer(b"".join(lists), "<u8"))
-                for m, s, n in zip(least[hit].view(np.int64).tolist(), starts[hit].tolist(), sizes[hit].tolist()):
-                    string = body[s:s + n + WINDOW - 1]
-                    out.append((key, mark, s, m, hashlib.blake2b(string, digest_size=16).digest(), string))
-                if len(out) > 50_000:
-                    yield _rows(out)
-                    out = []
-            if out:
-                yield _rows(out)
-
-    def _rows(out: list[tuple]) -> pa.RecordBatch:
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["id", "hash", "at", "minimiser", "name", "string"])
-
-    return keyed.join(lists, ["id", "hash"]).select("id", "hash", "text", "codes").mapInArrow(run, "id long, hash long, at int, minimiser long, name binary, string binary")
+            for (name, _, keys, sizes, blob), answers in zip(_opened(batch), batch.column("lists").to_pylist()):
+                s = Stretches(blob, sizes)
+                code, key = codes(s.least, shards), keys[s.owner]
+                known = np.frombuffer(b"".join(x["codes"] for x in answers or []), "<u8")
+                owner = np.frombuffer(b"".join(x["owners"] for x in answers or []), "<i8")
+                order = np.argsort(known, kind="stable")
+                known, owner = known[order], owner[order]
+                once, _, low, high, differ = _by_code(code, s.name, key)
+                own_mixed = (differ & (low != high))[np.searchsorted(once, code)]
+                at = np.minimum(np.searchsorted(known, code), max(len(known) - 1, 0))
+                hit = (known[at] == code) if len(known) else np.zeros(len(code), bool)
+                has = np.where(hit, owner[at] if len(known) else 0, 0)
+                apart = own_mixed | (hit & (has == DIFFER))
+                late = np.flatnonzero(hit & ~apart & (key > has))
+                start = s.at - s.begin[s.owner]
+                spans = np.stack([s.owner[late], start[late], start[late] + s.n[late] - 1 + WINDOW]).astype("<u4").tobytes()
+                out = [(name, None, None, None, None, None, None, spans)] if len(late) else []
+                for k in np.flatnonzero(apart).tolist():
+                    a = int(s.at[k])
+                    out.append((name, int(s.owner[k]), int(key[k]), int(start[k]), int(s.least[k].view(np.int64)), int(s.name[k].view(np.int64)), blob[a:a + int(s.n[k]) + WINDOW - 1], None))
+                columns = zip(*out) if out else [()] * 8
+                yield _batch(dict(zip(names, zip(columns, kinds))))
+
+    return slices.join(lists, "slice", "left").mapInArrow(run, FOUND)
 
 
 def suffix_array(text: Sequence[int]) -> list[int]:
@@ -290,29 +356,32 @@ def ranges(own: list[int]) -> list[tuple[int, int, int]]:
     return out
 
 
-OWNED = "name binary, ranges array<struct<at:int,n:int,owner:long>>"
+OWNED = "minimiser long, name long, ranges array<struct<at:int,n:int,owner:long>>"
 
 
 def owned_windows(strings: DataFrame) -> DataFrame:
-    """name, ranges: for each string (minimiser, name, string, owner) the earliest owner of its windows."""
+    """minimiser, name, ranges: for each stretch (minimiser, name, string, owner) the earliest owner of its windows."""
     many = strings.groupBy("minimiser").agg(F.count("*").alias("n")).where(F.col("n") > MAX_STRINGS).select("minimiser")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32()), ("owner", pa.int64())]))
         for batch in batches:
-            names, found = [], []
-            for group in batch.column("m").to_pylist():
+            minimisers, names, found = [], [], []
+            for minimiser, group in zip(batch.column("minimiser").to_pylist(), batch.column("m").to_pylist()):
+                minimisers += [minimiser] * len(group)
                 names += [x["name"] for x in group]
                 found += window_owners([x["string"] for x in group], [x["owner"] for x in group])
             rows = [[{"at": a, "n": n, "owner": o} for a, n, o in r] for r in found]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(rows, kind)], names=["name", "ranges"])
+            yield _batch({"minimiser": (minimisers, pa.int64()), "name": (names, pa.int64()), "ranges": (rows, kind)})
 
     few = strings.join(many, "minimiser", "left_anti").groupBy("minimiser").agg(F.collect_list(F.struct("name", "string", "owner")).alias("m"))
-    sorted_ones = few.select("m").mapInArrow(run, OWNED)
-    cut = strings.join(many, "minimiser", "left_semi").select("name", "owner", "string", F.explode(F.expr(f"sequence(0, octet_length(string) - {WINDOW})")).alias("at"))
-    cut = cut.select("name", "owner", "at", F.expr(f"substring(string, at + 1, {WINDOW})").alias("window"))
+    sorted_ones = few.mapInArrow(run, OWNED)
+    each = F.explode(F.expr(f"sequence(0, octet_length(string) - {WINDOW})")).alias("at")
+    cut = strings.join(many, "minimiser", "left_semi").select("minimiser", "name", "owner", "string", each)
+    cut = cut.select("minimiser", "name", "owner", "at", F.expr(f"substring(string, at + 1, {WINDOW})").alias("window"))
     least = cut.groupBy("window").agg(F.min("owner").alias("owner"))
-    grouped = cut.select("name", "at", "window").join(least, "window").groupBy("name").agg(F.collect_list(F.struct("at", F.lit(1).alias("n"), "owner")).alias("ranges"))
+    range_ = F.struct("at", F.lit(1).alias("n"), "owner")
+    grouped = cut.select("minimiser", "name", "at", "window").join(least, "window").groupBy("minimiser", "name").agg(F.collect_list(range_).alias("ranges"))
     return sorted_ones.unionByName(grouped)
 
 
@@ -334,27 +403,34 @@ def cut_out(body: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]
 
 def dedup_suffixes(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the kept bytes: one row per row of ``df``."""
-    rows = texts_of(df, key, text)
-    keyed = rows.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.xxhash64("text").alias("hash"), "text")
-    shards = 4 * shuffle_width(df.sparkSession)
-    shared = shared_minimisers(keyed, shards)
-    found = staged(shared_strings(keyed.dropDuplicates(["id", "hash"]), shared, shards), "strings")
-    strings = found.groupBy("minimiser", "name").agg(F.first("string").alias("string"), F.min("id").alias("owner"))
-    owners = owned_windows(staged(strings, "owners"))
+    shards = shuffle_width(df.sparkSession)
+    slices = sliced(texts_of(df, key, text), shards)
+    found = staged(found_stretches(slices, shared_minimisers(slices, shards), shards), "stretches")
+    apart = found.where("string is not null")
+    strings = apart.groupBy("minimiser", "name").agg(F.first("string").alias("string"), F.min("id").alias("owner"))
+    owners = owned_windows(staged(strings, "strings"))
     earlier = F.expr("filter(ranges, r -> r.owner < id)")
-    late = found.select("id", "hash", "at", "name").join(owners, "name").select("id", "hash", "at", earlier.alias("ranges")).where(F.size("ranges") > 0)
-    spans = F.transform("ranges", lambda r: F.struct((F.col("at") + r["at"]).alias("a"), (F.col("at") + r["at"] + r["n"] - 1 + WINDOW).alias("b")))
-    lists = late.select("id", "hash", spans.alias("spans")).groupBy("id", "hash").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    late = apart.select("slice", "doc", "id", "at", "minimiser", "name").join(owners, ["minimiser", "name"]).select("slice", "doc", "at", earlier.alias("ranges")).where(F.size("ranges") > 0)
+    pieces = F.transform("ranges", lambda r: F.struct(F.col("doc").alias("doc"), (F.col("at") + r["at"]).alias("a"), (F.col("at") + r["at"] + r["n"] - 1 + WINDOW).alias("b")))
+    some = late.select("slice", pieces.alias("pieces")).groupBy("slice").agg(F.flatten(F.collect_list("pieces")).alias("pieces"))
+    whole = found.where("spans is not null").groupBy("slice").agg(F.collect_list("spans").alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (*[pa.int64()] * 4, pa.binary())
         for batch in batches:
-            out = []
-            for body, spans in zip(batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("spans").to_pylist()):
-                kept, removed, n = cut_out(body, [(x["a"], x["b"]) for x in spans or []])
-                out.append((len(body), removed, n, kept))
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            columns = zip(*out) if out else [()] * 4
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    joined = keyed.join(lists, ["id", "hash"], "left").select("doc_id", "text", "spans")
+            for (_, ids, _, sizes, blob), packed, pieces in zip(_opened(batch), batch.column("spans").to_pylist(), batch.column("pieces").to_pylist()):
+                spans: list[list] = [[] for _ in ids]
+                for block in packed or []:
+                    for doc, a, b in np.frombuffer(block, "<u4").reshape(3, -1).T.tolist():
+                        spans[doc].append((a, b))
+                for x in pieces or []:
+                    spans[x["doc"]].append((x["a"], x["b"]))
+                out, at = [], 0
+                for doc_id, size, own in zip(ids, sizes.tolist(), spans):
+                    kept, removed, n = cut_out(blob[at:at + size], set(own))
+                    out.append((doc_id, size, removed, n, kept))
+                    at += size
+                yield _batch(dict(zip(("doc_id", "n_bytes", "n_removed", "n_spans", "kept"), zip(zip(*out), kinds))))
+
+    joined = slices.join(whole, "slice", "left").join(some, "slice", "left")
     return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
