@@ -18,12 +18,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dockflow.llm.common import staged
+from dockflow.llm.common import LOWER, UPPER, staged
 
 PROBES = 3
 BITS_PER_ROW = 16
@@ -42,7 +43,7 @@ def _digests(frame: DataFrame, text: str, sha: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [text_sha(t) for t in batch.column(text).cast(pa.large_string()).to_pylist()]
+            got = [text_sha(t.as_py()) for t in batch.column(text)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.string())], names=[*batch.schema.names, sha])
 
     return frame.mapInArrow(run, schema)
@@ -109,16 +110,20 @@ def repeated_filter(digests: DataFrame, rows: int, max_bits: int = MAX_BITS) ->
     return bitmap.tobytes(), bits
 
 
+def _marked(shas: list[str], bitmap: bytes, bits: int) -> np.ndarray:
+    """Whether all bits of each hash are set."""
+    at = _positions(shas, bits)
+    return ((np.frombuffer(bitmap, np.uint8)[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1) if len(at) else np.zeros(0, bool)
+
+
 def _probed(frame: DataFrame, sha: str, bitmap: bytes, bits: int, flag: str) -> DataFrame:
     """``frame`` with ``flag``: true where the text is possibly repeated."""
     shared = frame.sparkSession.sparkContext.broadcast(bitmap)
     schema = T.StructType([*frame.schema.fields, T.StructField(flag, T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filled = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
-            at = _positions(batch.column(sha).to_pylist(), bits)
-            hit = ((filled[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1) if len(at) else np.zeros(0, bool)
+            hit = _marked(batch.column(sha).to_pylist(), shared.value, bits)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hit)], names=[*batch.schema.names, flag])
 
     return frame.mapInArrow(run, schema)
@@ -141,12 +146,18 @@ def dedup_ledger(df: DataFrame, text: str = "text", key: str = "doc_id", max_bit
 def drop_exact(df: DataFrame, text: str = "text", key: str = "doc_id", max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``df`` that stay, as they are. Unique rows aren't shuffled; copies meet in a pre-aggregated maximum."""
     sha, flag = "__sha", "__maybe"
-    hashed = df.select(F.col(f"`{text}`").cast("string").alias("text"))
-    bitmap, bits = repeated_filter(_digests(hashed, "text", "sha"), df.count(), max_bits)
     own = df.columns
     at = {c: f"c{k}" for k, c in enumerate(own)}
-    renamed = df.toDF(*at.values())
-    probed = _probed(_digests(renamed, at[text], sha), sha, bitmap, bits, flag)
+    plain = F.translate(F.coalesce(F.col(at[text]).cast("string"), F.lit("")), UPPER, LOWER)
+    hashed = df.toDF(*at.values()).withColumn(sha, F.sha2(plain, 256))
+    bitmap, bits = repeated_filter(hashed.select(F.col(sha).alias("sha")), df.count(), max_bits)
+    shared = df.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf(T.BooleanType())
+    def maybe(shas: pd.Series) -> pd.Series:  # only the hashes go to Python
+        return pd.Series(_marked(shas.tolist(), shared.value, bits))
+
+    probed = hashed.withColumn(flag, maybe(sha))
     columns: list[Column] = [F.col(at[c]) for c in own]
     alone = probed.where(~F.col(flag)).select(*columns)
     row = F.struct(*columns)

@@ -32,7 +32,7 @@ from dockflow.llm.common import texts_of
 
 WINDOW = 1024
 MAX_OPEN = 4096
-MAX_UNITS = 500_000
+MAX_UNITS = 60_000
 SPACED = re.compile(r"\s ")
 BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

@@ -29,8 +29,8 @@ from dockflow.llm.common import texts_of
 
 SPACE = "▁"
 CHUNK = 1 << 15
-MAX_UNITS = 1_000_000
-MAX_TRANSITIONS = 1_000_000
+MAX_UNITS = 400_000
+MAX_TRANSITIONS = 400_000
 LIMIT = 4096
 
 
