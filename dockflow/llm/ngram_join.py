@@ -22,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.llm.common import staged, texts_of
+from dockflow.llm.common import key_filter, maybe_in, staged, texts_of
 from dockflow.llm.graph import components
 
 GRAM = 5
@@ -35,8 +36,8 @@ RECALL = 0.9999
 MAX_HASHES = 128
 BUCKET_BLOCK = 512
 VERIFY_BLOCK = 128
-SLICE_BYTES = 1 << 21
-MAX_WORDS = 500_000
+SLICE_BYTES = 1 << 20
+MAX_WORDS = 50_000
 _U = np.uint64
 
 
@@ -110,15 +111,16 @@ def signatures(sets: list[np.ndarray], factors: np.ndarray) -> np.ndarray:
     return out
 
 
-def _slices(bodies: list[bytes]) -> Iterator[tuple[int, int]]:
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Parts of a batch of about SLICE_BYTES of text each, with their texts."""
+    sizes = pc.binary_length(batch.column("text")).to_pylist()
     at = size = 0
-    for k, body in enumerate(bodies):
-        size += len(body)
-        if size >= SLICE_BYTES:
-            yield at, k + 1
+    for k, n in enumerate(sizes):
+        size += n
+        if size >= SLICE_BYTES or k == len(sizes) - 1:
+            part = batch.slice(at, k + 1 - at)
+            yield part, part.column("text").cast(pa.large_binary()).to_pylist()
             at, size = k + 1, 0
-    if at < len(bodies):
-        yield at, len(bodies)
 
 
 def signed(keyed: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -129,14 +131,12 @@ def signed(keyed: DataFrame, bands: int, rows: int) -> DataFrame:
         salt = multipliers(bands)
         with np.errstate(over="ignore"):
             for batch in batches:
-                bodies = batch.column("text").cast(pa.large_binary()).to_pylist()
-                for a, b in _slices(bodies):
-                    sets = gram_sets(bodies[a:b])
+                for part, bodies in _slices(batch):
+                    sets = gram_sets(bodies)
                     signs = signatures(sets, factors)
                     keys = np.zeros((len(sets), bands), _U) + salt
                     for r in range(rows):
                         keys = mixed(keys + signs[:, r::rows].astype(_U) + _U(1))
-                    part = batch.slice(a, b - a)
                     yield pa.RecordBatch.from_arrays([
                         *(part.column(c) for c in ("doc_id", "id", "hash")),
                         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
@@ -166,9 +166,9 @@ def plausible_links(classes: DataFrame, hashes: int, threshold: float) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = [], []
-            for members in batch.column("m").to_pylist():
-                nodes = np.array([x["node"] for x in members])
-                signs = np.frombuffer(b"".join(x["signature"] for x in members), np.uint32).reshape(len(nodes), hashes)
+            for m in batch.column("m"):
+                nodes = m.values.field("node").to_numpy()
+                signs = np.frombuffer(b"".join(m.values.field("signature").to_pylist()), np.uint32).reshape(len(nodes), hashes)
                 for x, found in forest(len(nodes), lambda x, rest: (signs[rest] == signs[x]).sum(axis=1) >= least):
                     left += [int(nodes[x])] * len(found)
                     right += nodes[found].tolist()
@@ -213,17 +213,19 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
 
 def verified(keyed: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     """node, links, parent: per block pair the rows each member is linked to, and a spanning forest."""
-    texts = keyed.join(members.select("id", "hash", "node"), ["id", "hash"]).groupBy("node").agg(F.first("text").alias("text"))
+    bitmap, bits = key_filter(members, members.count())
+    shared = keyed.sparkSession.sparkContext.broadcast(bitmap)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
-                bodies = batch.column("text").cast(pa.large_binary()).to_pylist()
-                for a, b in _slices(bodies):
-                    got = [s.tobytes() for s in gram_sets(bodies[a:b])]
-                    yield pa.RecordBatch.from_arrays([batch.column("node").slice(a, b - a), pa.array(got, pa.binary())], names=["node", "grams"])
+                wanted = batch.filter(pa.array(maybe_in(shared.value, bits, batch.column("hash").to_numpy(zero_copy_only=False))))
+                for part, bodies in _slices(wanted):
+                    got = [s.tobytes() for s in gram_sets(bodies)]
+                    yield pa.RecordBatch.from_arrays([part.column("id"), part.column("hash"), pa.array(got, pa.binary())], names=["id", "hash", "grams"])
 
-    grams = texts.mapInArrow(sets, "node long, grams binary")
+    found = keyed.select("id", "hash", "text").mapInArrow(sets, "id long, hash long, grams binary")
+    grams = found.join(members.select("id", "hash", "node"), ["id", "hash"]).groupBy("node").agg(F.first("grams").alias("grams"))
     sizes = members.groupBy("component").agg(F.count("*").alias("n"))
     whole = members.select("node", "size", "component").join(sizes, "component").join(grams, "node")
     groups = _block_pairs(whole, "component", "n", VERIFY_BLOCK).groupBy("component", "i", "j").agg(F.collect_list(F.struct("node", "size", "own", "grams")).alias("m"))
@@ -231,22 +233,22 @@ def verified(keyed: DataFrame, members: DataFrame, threshold: float) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for i, j, m in zip(*(batch.column(c).to_pylist() for c in ("i", "j", "m"))):
-                sets = [np.frombuffer(x["grams"], _U) for x in m]
+            for i, j, m in zip(batch.column("i").to_pylist(), batch.column("j").to_pylist(), batch.column("m")):
+                node, weight, own = (m.values.field(c).to_numpy() for c in ("node", "size", "own"))
+                sets = [np.frombuffer(x, _U) for x in m.values.field("grams").to_pylist()]
                 inter = overlaps(sets)
                 size = np.array([len(s) for s in sets], np.float64)
                 union = size[:, None] + size[None, :] - inter
                 link = (inter >= threshold * union - 1e-9) & (union > 0)
                 np.fill_diagonal(link, False)
                 if i != j:
-                    own = np.array([x["own"] for x in m])
                     link &= own[:, None] != own[None, :]
-                links = link @ np.array([x["size"] for x in m])
-                parent = [None] * len(m)
-                for x, found in forest(len(m), lambda x, rest: link[x, rest]):
+                links = link @ weight
+                parent: list[int | None] = [None] * len(sets)
+                for x, found in forest(len(sets), lambda x, rest: link[x, rest]):
                     for k in found.tolist():
-                        parent[k] = m[x]["node"]
-                out += [(x["node"], int(n), p) for x, n, p in zip(m, links.tolist(), parent) if n]
+                        parent[k] = int(node[x])
+                out += [(x, int(n), p) for x, n, p in zip(node.tolist(), links.tolist(), parent) if n]
             columns = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["node", "links", "parent"])
 
