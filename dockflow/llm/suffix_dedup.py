@@ -33,7 +33,7 @@ from dockflow.session import scratch_path, shuffle_width
 WINDOW, SEED = 50, 24
 SPAN = WINDOW - SEED + 1
 MAX_RUN = 200
-MAX_STRINGS = 1000
+MAX_STRINGS = 4000
 SLICE_BYTES = 1 << 21
 NO_KEY = -(1 << 63)
 DIFFER = NO_KEY
@@ -248,13 +248,18 @@ def found_stretches(slices: DataFrame, shared: DataFrame, shards: int) -> DataFr
                 apart = own_mixed | (hit & (has == DIFFER))
                 late = np.flatnonzero(hit & ~apart & (key > has))
                 start = s.at - s.begin[s.owner]
-                spans = np.stack([s.owner[late], start[late], start[late] + s.n[late] - 1 + WINDOW]).astype("<u4").tobytes()
-                out = [(name, None, None, None, None, None, None, spans)] if len(late) else []
-                for k in np.flatnonzero(apart).tolist():
-                    a = int(s.at[k])
-                    out.append((name, int(s.owner[k]), int(key[k]), int(start[k]), int(s.least[k].view(np.int64)), int(s.name[k].view(np.int64)), blob[a:a + int(s.n[k]) + WINDOW - 1], None))
-                columns = zip(*out) if out else [()] * 8
-                yield _batch(dict(zip(names, zip(columns, kinds))))
+                if len(late):
+                    spans = np.stack([s.owner[late], start[late], start[late] + s.n[late] - 1 + WINDOW]).astype("<u4").tobytes()
+                    yield _batch(dict(zip(names, zip(([name], *[[None]] * 6, [spans]), kinds))))
+                own = np.flatnonzero(apart)
+                if len(own):
+                    ends = s.at[own] + s.n[own] + WINDOW - 1
+                    strings = [blob[a:b] for a, b in zip(s.at[own].tolist(), ends.tolist())]
+                    columns = (
+                        np.full(len(own), name), s.owner[own].astype(np.int32), key[own], start[own].astype(np.int32),
+                        s.least[own].view(np.int64), s.name[own].view(np.int64), strings, [None] * len(own),
+                    )
+                    yield _batch(dict(zip(names, zip(columns, kinds))))
 
     return slices.join(lists, "slice", "left").mapInArrow(run, FOUND)
 
@@ -262,43 +267,58 @@ def found_stretches(slices: DataFrame, shared: DataFrame, shards: int) -> DataFr
 def suffix_array(text: Sequence[int]) -> list[int]:
     """Suffixes of ``text`` in order: grouped by Lyndon prefix, then each group's order is emitted from left to right."""
     n = len(text)
-    group = list(text)  # the number of a group is a name; `below` and `above` give the order
-    members: dict[int, set[int]] = {}
-    for i, c in enumerate(text):
-        members.setdefault(c, set()).add(i)
-    names = [-1, *sorted(members)]
-    below = dict(zip(names[1:], names))
-    above = dict(zip(names, names[1:]))
-    fresh = names[-1] + 1
+    rank = {c: k for k, c in enumerate(sorted(set(text)))}
+    group = [rank[c] for c in text]  # the number of a group is a name; `below` and `above` give the order
+    fresh = len(rank)
+    members: list[set[int]] = [set() for _ in rank]
+    for i, g in enumerate(group):
+        members[g].add(i)
+    below = [*range(-1, fresh - 1), *[-1] * n]
+    above = [*range(1, fresh + 1), *[-1] * n]
     done, previous, order = bytearray(n), [-1] * n, []
-    current = names[-1]
+    current = fresh - 1
+
+    def split(g: int, those: set[int]) -> int:
+        """A new group of some members of ``g``, right above it."""
+        members[g] -= those
+        members.append(those)
+        new = len(members) - 1
+        over = above[g]
+        below[over], above[new], below[new], above[g] = new, over, g, new
+        for p in those:
+            group[p] = new
+        return new
+
     while current != -1:
         order.append(current)
-        counts: dict[int, int] = {}
-        for i in sorted(members[current]):
+        own = members[current]
+        if len(own) == 1:
+            (i,) = own
             done[i] = 1
             p = i - 1
             while p >= 0 and done[p]:  # suffixes of this group or a higher one are not smaller
                 p = previous[p]
             previous[i] = p
-            if p >= 0:
-                counts[p] = counts.get(p, 0) + 1
-        moved: dict[tuple[int, int], list[int]] = {}
-        for p, c in counts.items():
-            moved.setdefault((group[p], c), []).append(p)
-        for g, c in sorted(moved, reverse=True):  # more repeats go higher; each new group stands right above the one it leaves
-            those, old = moved[g, c], members[g]
-            if len(those) == len(old):
-                continue
-            old.difference_update(those)
-            members[fresh] = set(those)
-            for p in those:
-                group[p] = fresh
-            over = above[g]
-            below[over], above[fresh], below[fresh], above[g] = fresh, over, g, fresh
-            fresh += 1
+            if p >= 0 and len(members[group[p]]) > 1:
+                split(group[p], {p})
+        else:
+            counts: dict[int, int] = {}
+            for i in sorted(own):
+                done[i] = 1
+                p = i - 1
+                while p >= 0 and done[p]:
+                    p = previous[p]
+                previous[i] = p
+                if p >= 0:
+                    counts[p] = counts.get(p, 0) + 1
+            moved: dict[tuple[int, int], set[int]] = {}
+            for p, c in counts.items():
+                moved.setdefault((group[p], c), set()).add(p)
+            for g, c in sorted(moved, reverse=True):  # more repeats go higher
+                if len(moved[g, c]) < len(members[g]):
+                    split(g, moved[g, c])
         current = below[current]
-    start, at = {}, 0
+    start, at = [0] * len(members), 0
     for g in reversed(order):
         start[g] = at
         at += len(members[g])
@@ -321,8 +341,8 @@ def window_owners(strings: list[bytes], owners: list[int]) -> list[list[tuple[in
     text: list[int] = []
     place: list[tuple[int, int] | None] = []
     for k, string in enumerate(strings):
-        text += [b + 1 for b in string]
-        text.append(0)
+        text += string
+        text.append(-1)
         windows = len(string) - WINDOW + 1
         place += [(k, i) for i in range(windows)] + [None] * WINDOW
     least = [[0] * (len(s) - WINDOW + 1) for s in strings]
@@ -336,11 +356,17 @@ def window_owners(strings: list[bytes], owners: list[int]) -> list[list[tuple[in
             run.clear()
 
     last = None
-    for at in suffix_array(text):
-        if (spot := place[at]) is not None:
-            window = strings[spot[0]][spot[1]:spot[1] + WINDOW]
+    for spot in map(place.__getitem__, suffix_array(text)):
+        if spot is not None:
+            k, i = spot
+            window = strings[k][i:i + WINDOW]
             if window != last:
-                close()
+                if len(run) > 1:
+                    close()
+                elif run:
+                    (j, h), = run
+                    least[j][h] = owners[j]
+                    run.clear()
                 last = window
             run.append(spot)
     close()
@@ -364,15 +390,19 @@ def owned_windows(strings: DataFrame) -> DataFrame:
     many = strings.groupBy("minimiser").agg(F.count("*").alias("n")).where(F.col("n") > MAX_STRINGS).select("minimiser")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32()), ("owner", pa.int64())]))
         for batch in batches:
-            minimisers, names, found = [], [], []
-            for minimiser, group in zip(batch.column("minimiser").to_pylist(), batch.column("m").to_pylist()):
-                minimisers += [minimiser] * len(group)
-                names += [x["name"] for x in group]
-                found += window_owners([x["string"] for x in group], [x["owner"] for x in group])
-            rows = [[{"at": a, "n": n, "owner": o} for a, n, o in r] for r in found]
-            yield _batch({"minimiser": (minimisers, pa.int64()), "name": (names, pa.int64()), "ranges": (rows, kind)})
+            keys, names, found = [], [], []
+            for minimiser, m in zip(batch.column("minimiser").to_pylist(), batch.column("m")):
+                own, strings, owners = (m.values.field(c).to_pylist() for c in ("name", "string", "owner"))
+                keys += [minimiser] * len(own)
+                names += own
+                found += window_owners(strings, owners)
+            flat = [r for ranges in found for r in ranges]
+            at, n, owner = zip(*flat) if flat else ((), (), ())
+            parts = pa.StructArray.from_arrays([pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(owner, pa.int64())], names=["at", "n", "owner"])
+            offsets = np.concatenate([[0], np.cumsum([len(r) for r in found])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), parts)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(names, pa.int64()), lists], names=["minimiser", "name", "ranges"])
 
     few = strings.join(many, "minimiser", "left_anti").groupBy("minimiser").agg(F.collect_list(F.struct("name", "string", "owner")).alias("m"))
     sorted_ones = few.mapInArrow(run, OWNED)
