@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.plans.flow import build_station_flow
-from dockflow.registry.base import COPIED, HEALTH, HOURLY, STATUS, calendars, copied_status, query, rounded, s6, status
+from dockflow.plans.flow import build_flow
+from dockflow.registry.base import COPIED, FLOW, FLOW_VALUES, HEALTH, HOURLY, STATUS, calendars, copied_status, query, rounded, s6, status, weather
 from dockflow.registry.cleaning import STATUS_ROWS, hourly, status_payloads
 from dockflow.registry.reports import health
 from dockflow.session import scratch_path, shuffle_width
@@ -86,15 +86,18 @@ def _(spark, sf):
     return drained(spark, jobs.delta_stream(stream), "deltas")
 
 
-@query("k07_refresh_stream")
+@query("k07_refresh_stream", f"WITH {FLOW} SELECT * FROM flow")
 def _(spark, sf):
-    cal = calendars(spark)
-    log, out = scratch_path(spark, "stream-log"), scratch_path(spark, "stream-flow")
+    """The log landing in three batches; each rebuilds and publishes the whole flow, with outliers and weather."""
+    path, log, out = (scratch_path(spark, n) for n in ("refresh-landing", "stream-log", "stream-flow"))
+    s, wx, cal = status(spark, sf), weather(spark, sf), calendars(spark)
+    cuts = ["2000-01-01", "2024-01-11", "2024-01-21", "2100-01-01"]
+    for low, high in zip(cuts, cuts[1:]):
+        part = s.filter((F.col("dt") >= F.lit(low).cast("timestamp_ntz")) & (F.col("dt") < F.lit(high).cast("timestamp_ntz")))
+        part.coalesce(1).write.mode("append").parquet(path)
 
     def rebuild(rows: DataFrame) -> DataFrame:
-        return build_station_flow(
-            rows, cal.holidays, cal.breaks, cal.uni_breaks, drop_stations=False, drop_days=False
-        )
+        return rounded(build_flow(rows, wx, cal.holidays, cal.breaks, cal.uni_breaks), *FLOW_VALUES)
 
-    jobs.refresh_stream(status_stream(spark, sf), log, out, scratch_path(spark, "refresh-checkpoint"), rebuild)
+    jobs.refresh_stream(jobs.landed_tables(spark, path, STATUS_SCHEMA, max_files=1), log, out, scratch_path(spark, "refresh-checkpoint"), rebuild)
     return jobs.current_flow(spark, out)

@@ -16,7 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from dockflow.functions.timefn import as_clock, as_instant
 from dockflow.sources.status import parse_status
-from dockflow.sources.tables import load_table
+from dockflow.sources.tables import current_table, publish
 
 
 def landed_tables(spark: SparkSession, path: str, schema: str, glob: str | None = None, max_files: int = 1000) -> DataFrame:
@@ -138,19 +138,16 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append"
 def refresh_stream(
     incoming: DataFrame, log: str, out: str, checkpoint: str, rebuild: Callable[[DataFrame], DataFrame],
 ) -> None:
-    """Per batch: append to the log, then rebuild the touched stations from the whole log.
+    """Per batch: append to the log, rebuild the flow from the whole log, and publish it.
 
-    Reconstruction looks back and ahead within a station, so the unit of a rebuild is the
-    station. Both writes are replaced per batch id, which makes a repeated batch harmless; the
-    newest version of a station wins when the table is read (``current_flow``).
+    Bounds of the network, outlier passes and reconstruction look at all stations and back and ahead in time, so no
+    part of the table can be rebuilt alone. The log's part is replaced per batch id and a published version is
+    complete, which makes a repeated batch harmless.
     """
     def batch(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
         df.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
-        stored = spark.read.option("basePath", log).parquet(f"{log}/batch=*").filter(F.col("batch") <= batch_id).drop("batch")
-        touched = spark.read.parquet(f"{log}/batch={batch_id}").select("station").distinct()
-        rebuilt = rebuild(stored.join(touched, "station", "left_semi"))
-        rebuilt.write.mode("overwrite").parquet(f"{out}/version={batch_id}")
+        stored = df.sparkSession.read.option("basePath", log).parquet(f"{log}/batch=*").filter(F.col("batch") <= batch_id).drop("batch")
+        publish(rebuild(stored), out)
 
     query = (
         incoming.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -159,7 +156,5 @@ def refresh_stream(
 
 
 def current_flow(spark: SparkSession, out: str) -> DataFrame:
-    """Rows of every station's newest version."""
-    flow = load_table(spark, out)
-    newest = flow.groupBy("station").agg(F.max("version").alias("version"))
-    return flow.join(newest, ["station", "version"]).drop("version")
+    """The flow of the newest finished batch."""
+    return current_table(spark, out)
