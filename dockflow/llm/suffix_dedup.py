@@ -168,7 +168,8 @@ def _opened(batch: pa.RecordBatch) -> Iterator[tuple[int, list, np.ndarray, np.n
         yield name, ids, np.array([NO_KEY if i is None else i for i in ids], np.int64), np.array(sizes, np.int64), zstandard.ZstdDecompressor().decompress(blob)
 
 
-ALONE, MORE, MIXED = 0, 1, 2
+#: Of a slice's entry: one document and stretch, one document with different stretches, several documents with one stretch, with different ones.
+ALONE, WITHIN, MORE, MIXED = 0, 1, 2, 3
 
 
 def shared_minimisers(slices: DataFrame, shards: int) -> DataFrame:
@@ -179,7 +180,7 @@ def shared_minimisers(slices: DataFrame, shards: int) -> DataFrame:
             for name, _, keys, sizes, blob in _opened(batch):
                 s = Stretches(blob, sizes)
                 code, first, low, high, differ = _by_code(codes(s.least, shards), s.name, keys[s.owner])
-                flag = np.where(differ & (low != high), MIXED, np.where(low != high, MORE, ALONE)).astype(np.uint8)
+                flag = np.where(differ, np.where(low != high, MIXED, WITHIN), np.where(low != high, MORE, ALONE)).astype(np.uint8)
                 cut = np.searchsorted(code >> _U(32), np.arange(shards + 1))
                 out: list[tuple] = []
                 for k in range(shards):
@@ -205,8 +206,10 @@ def shared_minimisers(slices: DataFrame, shards: int) -> DataFrame:
             where = np.searchsorted(once, code)
             most = np.zeros(len(once), np.uint8)
             np.maximum.at(most, where, flag)
-            shared = (low != high) | (most > ALONE)
-            owner = np.where(differ | (most == MIXED), DIFFER, low)
+            # The name sent stands for one stretch only where a slice has no other.
+            unlike = differ | (np.bincount(where[(flag == WITHIN) | (flag == MIXED)], minlength=len(once)) > 0)
+            shared = (low != high) | (most >= MORE)
+            owner = np.where(unlike, DIFFER, low)
             # A slice that has mixed stretches knows it; the owner's own slice needs no answer unless others there have the stretch too.
             asks = shared[where] & (flag != MIXED) & ((owner[where] == DIFFER) | (flag == MORE) | (key != low[where]))
             at, out = 0, []
