@@ -5,7 +5,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from dockflow.llm import suffix_dedup
+from dockflow.llm import secrets, suffix_dedup
 from tests.llm import brute
 from tests.llm.test_operators import same
 
@@ -24,3 +24,28 @@ def test_suffix_dedup_keeps_new_surroundings_of_a_phrase(spark):
         df = spark.createDataFrame(those, "doc_id long, text string").repartitionByRange(2, "doc_id")
         got = suffix_dedup.dedup_suffixes(df).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()
         same(got, brute.suffixes(those))
+
+
+def test_secrets_of_20_to_40_characters_in_prose(spark):
+    """Random keys in prose are found in every length band; where words run together stand beside them, those are rarely taken for keys."""
+    rng = random.Random(11)
+    words = "the of and to in is that for it as was with be by on not he his but at are this have from or had an they which one you were all her she there would their we him been has when who will no more if out so said what up its about into than them can only other new some could time these two may then do first any my now such like our over man me even most made after also did many before must through back years where much your way well down should because each just those people mr how too little state good very make world still own see men work long get here between both life being under never day same another know while last might us great old year off come since against go came right used take three".split()
+    text = lambda n: " ".join(rng.choice(words).capitalize() if rng.random() < 0.1 else rng.choice(words) for _ in range(n))
+    letters = string.ascii_letters + string.digits
+    rows, keys = [], {}
+    for k in range(640):
+        length = (20, 24, 28, 32, 36, 40)[k % 6]
+        if k < 600:
+            token = "".join(rng.choice(letters) for _ in range(length))
+            keys[k] = length
+        else:
+            token = "".join(rng.choice(words).capitalize() for _ in range(14))[:length]
+        rows.append((k, f"{text(60)} {token} {text(60)}"))
+    for some in (rows[:600], rows):
+        found = secrets.digest(secrets.find_secrets(spark.createDataFrame(some, "doc_id long, text string")))
+        got = {r.doc_id: "random:" in r.spans for r in found.collect()}
+        caught = {n: sum(got[k] for k in keys if keys[k] == n) for n in sorted(set(keys.values()))}
+        wrong = sum(got[r[0]] for r in some if r[0] not in keys)
+        print("caught of 100 by length", caught, "wrong", wrong, "of", len(some) - 600)
+        assert wrong <= 6, (caught, wrong)
+        assert len(some) > 600 or caught[20] >= 60 and min(caught[n] for n in caught if n > 20) >= 90, caught
