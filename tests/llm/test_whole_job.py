@@ -5,7 +5,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from dockflow.llm import secrets, suffix_dedup
+from dockflow.llm import pii, secrets, suffix_dedup
 from tests.llm import brute
 from tests.llm.test_operators import same
 
@@ -49,3 +49,16 @@ def test_secrets_of_20_to_40_characters_in_prose(spark):
         print("caught of 100 by length", caught, "wrong", wrong, "of", len(some) - 600)
         assert wrong <= 6, (caught, wrong)
         assert len(some) > 600 or caught[20] >= 60 and min(caught[n] for n in caught if n > 20) >= 90, caught
+
+
+def test_terms_of_rare_entities_and_fixed_signatures(spark):
+    """A name beside an address in two documents, and one in a signature that is the same everywhere."""
+    rows = [(k, f"{brute.prose(40, k)} and the usual matter") for k in range(1000)]
+    rows += [(2000 + k, f"{brute.prose(25, 1000 + k)} quibblefax writes qq@mail.example.org and the usual {brute.prose(25, 1100 + k)}") for k in range(2)]
+    rows += [(3000 + k, f"{brute.prose(40, 1200 + k)} regards from wobbletrix of the usual desk, ww@mail.example.org") for k in range(60)]
+    rows += [(4000 + k, rows[1000][1]) for k in range(5)]  # copies
+    found = pii.find_private(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: {x.v for x in r.terms} for r in found.select("doc_id", "terms").collect()}
+    assert all("quibblefax" in got[k] for k in (2000, 2001, 4000))
+    assert all("wobbletrix" in got[3000 + k] for k in range(60))
+    assert not any({"and", "the", "usual"} & terms for terms in got.values())
