@@ -1,7 +1,8 @@
 """Corpus pipeline: quality rules, exact dedup, near duplicates, mixing and packing over `documents`.
 
 Each stage gets what its predecessor kept, read again from Parquet. The first three return the rows they keep, as they are; mixing keeps all rows
-and puts them in the order of the schedule, which the files and the packer follow; packing returns one row per piece of a document.
+and puts them in the order of the schedule; files read again come in any order, so packing works the schedule out once more and numbers its
+sequences by range of slots; it returns one row per piece of a document.
 Null and empty texts fail the quality rules; later stages would treat them as the operators say. An empty table passes through as an empty one.
 """
 
@@ -31,7 +32,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return packing.pack(mixing.mix(docs), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 STAGES = [

@@ -3,9 +3,10 @@
 import random
 import string
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
-from dockflow.llm import pii, secrets, suffix_dedup
+from dockflow.llm import mixing, pii, secrets, suffix_dedup
 from tests.llm import brute
 from tests.llm.test_operators import same
 
@@ -62,3 +63,27 @@ def test_terms_of_rare_entities_and_fixed_signatures(spark):
     assert all("quibblefax" in got[k] for k in (2000, 2001, 4000))
     assert all("wobbletrix" in got[3000 + k] for k in range(60))
     assert not any({"and", "the", "usual"} & terms for terms in got.values())
+
+
+def test_sequences_follow_the_schedule(spark, tmp_path):
+    """Sequences are numbered by ranges of slots, however the mixed rows were dealt to files."""
+    rng = random.Random(2)
+    rows = [(k, brute.prose(20, k), "en", f"src{min(rng.randrange(9), 2)}", 1) for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    slots = {r.doc_id: r.slot for r in mixing.mix_schedule(df).collect()}
+    own = sorted(rows, key=lambda r: slots[r[0]])
+    for k, (a, b) in enumerate(((0, 100), (100, 300), (300, 700), (700, 1500), (1500, 3000))):  # the largest file is read first
+        spark.createDataFrame(own[a:b], df.schema).coalesce(1).write.parquet(f"{tmp_path}/docs/part={k}")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = spark.read.parquet(f"{tmp_path}/docs").select(*df.columns)
+        got = corpus_pipeline.pack_sequences(spark, docs, "").select("doc_id", "sequence_id").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    ranges = {}
+    for r in got:
+        ranges.setdefault(r.sequence_id >> 40, []).append(slots[r.doc_id])
+    assert {r.doc_id for r in got} == slots.keys() and len(ranges) > 1
+    ends = [(min(ranges[k]), max(ranges[k])) for k in sorted(ranges)]
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:])), ends
