@@ -68,3 +68,68 @@ cut AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans, max(b) AS last,
 SELECT doc_id, n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
   sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM h LEFT JOIN cut USING (doc_id)"""
+
+
+def _crc32(text: str) -> str:
+    return (f"xor(4294967295, list_reduce(list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT)), "
+            "lambda a, b: xor(a >> 8, crc_table[(xor(a, b) & 255) + 1]), CAST(4294967295 AS BIGINT)))")
+
+
+def _reshard(source: str, old: str, new: str, order: str, name: str, shards: int) -> str:
+    """CTEs that move the first bytes beyond each shard's share, in an order, to the shards with room, lowest first."""
+    return f"""{name}_total AS (SELECT CAST(sum(size) AS BIGINT) AS total FROM {source}),
+{name}_shards AS (
+  SELECT j, coalesce(size, 0) AS size, CASE WHEN j < {shards} THEN total // {shards} + CASE WHEN j < total % {shards} THEN 1 ELSE 0 END ELSE 0 END AS capacity
+  FROM (SELECT unnest(range(greatest({shards}, (SELECT max({old}) + 1 FROM {source})))) AS j) AS all_shards
+  LEFT JOIN (SELECT {old} AS j, CAST(sum(size) AS BIGINT) AS size FROM {source} GROUP BY 1) AS sizes USING (j), {name}_total),
+{name}_room AS (
+  SELECT j, greatest(size - capacity, 0) AS surplus, CAST(sum(greatest(size - capacity, 0)) OVER w - greatest(size - capacity, 0) AS BIGINT) AS base,
+    greatest(capacity - size, 0) AS deficit, CAST(sum(greatest(capacity - size, 0)) OVER w AS BIGINT) AS upto
+  FROM {name}_shards WINDOW w AS (ORDER BY j)),
+{name}_sums AS (SELECT *, CAST(sum(size) OVER (PARTITION BY {old} ORDER BY {order}) AS BIGINT) AS q FROM {source}),
+{name} AS (
+  SELECT s.*, CASE WHEN q <= surplus THEN (SELECT min(t.j) FROM {name}_room AS t WHERE t.deficit > 0 AND t.upto >= r.base + s.q) ELSE {old} END AS {new}
+  FROM {name}_sums AS s JOIN {name}_room AS r ON r.j = {old})"""
+
+
+RESHARD = f"""WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i)) AS crc_table),
+d AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
+    {_crc32("coalesce(text, '')")} AS text_crc32, {_crc32("coalesce(source, '')")} % 6 AS old_shard FROM documents, crc),
+{_reshard("d", "old_shard", "reached", "place", "flowed", 8)},
+f AS (SELECT doc_id, size, place, text_crc32, old_shard, reached FROM flowed),
+{_reshard("f", "reached", "shard", "size, place", "evened", 8)}
+SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard, CAST(old_shard AS INTEGER) AS old_shard FROM evened"""
+
+_FAILS = " + ".join(f"CASE WHEN {c} THEN {1 << k} ELSE 0 END" for k, c in enumerate([
+    "len(ws) < 200", "100 * len(list_distinct(ws)) < 50 * len(ws)", "100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t)",
+    "regexp_matches(t, '[#$%&*|]')", "doc_id > min(doc_id) OVER (PARTITION BY t)"]))
+
+AUDIT = rf"""WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+f AS (SELECT doc_id, part, {_FAILS} AS failed FROM d),
+l AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY 1),
+c AS (
+  SELECT part, failed, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY 1, 2),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x AS a, x AS b, x AS c, x AS d, x AS e
+  WHERE b.x <> a.x AND c.x NOT IN (a.x, b.x) AND d.x NOT IN (a.x, b.x, c.x) AND e.x NOT IN (a.x, b.x, c.x, d.x)),
+s AS (
+  SELECT filter_order, CAST(k AS INTEGER) AS step, 1 << (ord(substr(filter_order, CAST(k AS INTEGER), 1)) - 65) AS own,
+    CAST(coalesce(list_sum(list_transform(range(1, k), lambda i: 1 << (ord(substr(filter_order, CAST(i AS INTEGER), 1)) - 65))), 0) AS INTEGER) AS before
+  FROM o, unnest(range(1, 6)) AS u(k)),
+r AS (
+  SELECT part, filter_order, step, own,
+    CAST(coalesce(sum(n) FILTER (WHERE failed & (before | own) = 0), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (WHERE failed & own <> 0 AND failed & before = 0), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (WHERE failed & own <> 0 AND failed & before <> 0), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (WHERE failed = own), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (WHERE failed & own <> 0 AND failed & before = 0), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (WHERE failed & own <> 0 AND failed & before = 0), 0) AS BIGINT) AS toxic_lost
+  FROM c, s GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r"""

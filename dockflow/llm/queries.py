@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockflow.llm import chunk_dedup, exact_dedup, mixing, ngram_join, oracles, packing, pii, quality, secrets, suffix_dedup, token_counts
+from dockflow.llm import (
+    chunk_dedup, exact_dedup, filter_audit, mixing, ngram_join, oracles, packing, pii, quality, resharding, secrets, suffix_dedup, token_counts, whitening,
+)
 from dockflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +20,8 @@ ORACLES: dict[str, str] = {
     "op6_suffix_dedup": oracles.SUFFIXES,
     "op8_quality_ledger": oracles.QUALITY,
     "op10_exact_dedup": oracles.EXACT,
+    "op11_reshard": oracles.RESHARD,
+    "op12_filter_audit": oracles.AUDIT,
 }
 
 
@@ -76,3 +80,18 @@ def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_suffixes(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resharding.reshard_documents(documents(spark, sf_dir))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
