@@ -3,7 +3,7 @@
 Windows of ``WINDOW`` bytes are dealt out by their minimiser, the least hash of the ``SEED``-byte strings inside: equal windows have equal
 minimisers, so they meet. Neighbouring windows with one minimiser form a stretch, named by a hash of its bytes.
 1. Texts are packed into slices of some megabytes, written once in buckets by slice, so later steps meet them without moving them again.
-2. Every slice sends each of its minimisers once, in eight bytes (minimiser, stretch name), with the least document that has it. A shard
+2. Every slice sends each of its minimisers once, in 13 bytes (part of the minimiser, stretch name of 64 bits), with the least document that has it. A shard
    answers where another document has it too: with that owner where all stretches are the same, else that they differ. A minimiser in a
    third of all documents thus costs one entry a slice.
 3. Where stretches differ, their bytes are pre-aggregated by name and each minimiser's different stretches get one suffix array: suffixes are
@@ -188,7 +188,7 @@ def shared_minimisers(slices: DataFrame, shards: int) -> DataFrame:
                     if cut[k] < cut[k + 1]:
                         order = np.argsort(low[part], kind="stable")
                         docs, counts = np.unique(low[part], return_counts=True)
-                        stretch = s.name[first[part]][order].astype("<u4")
+                        stretch = s.name[first[part]][order].astype("<u8")
                         out.append((k, name, docs.tobytes(), counts.astype("<u4").tobytes(), code[part][order].astype("<u4").tobytes(), stretch.tobytes(), flag[part][order].tobytes()))
                 columns = zip(*out) if out else [()] * 7
                 kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 5)
@@ -199,7 +199,7 @@ def shared_minimisers(slices: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             for shard, name, keys, counts, *rest in zip(*(c.to_pylist() for c in batch.columns)):
                 key = np.repeat(np.frombuffer(keys, "<i8"), np.frombuffer(counts, "<u4"))
-                held.setdefault(shard, []).append((name, key, *(np.frombuffer(x, t) for x, t in zip(rest, ("<u4", "<u4", "u1")))))
+                held.setdefault(shard, []).append((name, key, *(np.frombuffer(x, t) for x, t in zip(rest, ("<u4", "<u8", "u1")))))
         for shard, rows in held.items():
             key, code, name, flag = (np.concatenate([r[k] for r in rows]) for k in (1, 2, 3, 4))
             once, _, low, high, differ = _by_code(code, name, key)

@@ -87,3 +87,10 @@ def test_sequences_follow_the_schedule(spark, tmp_path):
     assert {r.doc_id for r in got} == slots.keys() and len(ranges) > 1
     ends = [(min(ranges[k]), max(ranges[k])) for k in sorted(ranges)]
     assert all(a[1] < b[0] for a, b in zip(ends, ends[1:])), ends
+
+
+def test_stretches_whose_names_share_32_bits(spark):
+    """Two texts without a common window, found by search: their stretches share minimiser and the low half of the name."""
+    texts = ["ztfsnB2 EyB9hdvHK ps8 1Ksy5OQ1So9i6KstYwoivQ4xmlkd", "bpuZBRyRetB9hdvHK ps8 1Ksy5OQ1So9imMR9zYGEobe2WMqf"]
+    df = spark.createDataFrame([(1, texts[0]), (2, texts[1])], "doc_id long, text string").repartition(2, "doc_id")
+    assert {r["doc_id"]: r["n_removed"] for r in suffix_dedup.dedup_suffixes(df).collect()} == {1: 0, 2: 0}
