@@ -47,7 +47,7 @@ def hour_grid(hourly: DataFrame, stations: DataFrame | None = None) -> DataFrame
     return spread.withColumn("datehour", F.explode(hours))
 
 
-def densify(hourly: DataFrame, value: str = "bikes", max_gap: int = 0) -> DataFrame:
+def densify(hourly: DataFrame, value: str = "bikes", max_gap: int = 0, until: Column | None = None, carried: tuple[str, ...] = ()) -> DataFrame:
     """Grid left join observations, without the join.
 
     Each observed hour is unrolled up to the hour before the station's next observation, and
@@ -55,20 +55,26 @@ def densify(hourly: DataFrame, value: str = "bikes", max_gap: int = 0) -> DataFr
     replaces the grid's and the join's, and the result is already placed for the station windows.
     As each run of hours knows both its ends, gaps up to ``max_gap`` hours can be interpolated
     here without another window: linear between two observations, repeated after the last one.
+    With ``until`` a station's hours run from its own first row to that hour; ``carried`` names further columns to keep.
     """
-    attrs = [c for c in ATTRIBUTES if c in hourly.columns]
+    attrs = [*(c for c in ATTRIBUTES if c in hourly.columns), *carried]
     hourly = hourly.filter("station is not null and datehour is not null")
-    bounds = hour_bounds(hourly)
     w = by_hour()
     step = F.expr(ONE_HOUR)
+    if until is None:
+        bounds = hour_bounds(hourly)
+        until = bounds.getField("high")
+        start_hour = F.when(F.lag("datehour").over(w).isNull(), bounds.getField("low")).otherwise(F.col("datehour"))
+    else:
+        start_hour = F.col("datehour")
     placed = hourly.select("station", "datehour", value, *attrs).repartition(
         shuffle_width(hourly.sparkSession), "station"
     )
     runs = placed.withColumns(
         {
             "_seen": F.col("datehour"),
-            "_from": F.when(F.lag("datehour").over(w).isNull(), bounds.getField("low")).otherwise(F.col("datehour")),
-            "_to": F.coalesce(F.lead("datehour").over(w) - step, bounds.getField("high")),
+            "_from": start_hour,
+            "_to": F.coalesce(F.lead("datehour").over(w) - step, until),
         }
     )
     if max_gap:

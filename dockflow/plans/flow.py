@@ -68,6 +68,9 @@ def build_flow(
     status: DataFrame, wx: DataFrame, holidays: DataFrame, breaks: DataFrame, uni_breaks: DataFrame, **options,
 ) -> DataFrame:
     """The hourly flow table: 24 columns, one row per station and hour, without nulls."""
-    flow = build_station_flow(status, holidays, breaks, uni_breaks, **options)
+    return with_weather(build_station_flow(status, holidays, breaks, uni_breaks, **options), wx)
+
+
+def with_weather(flow: DataFrame, wx: DataFrame) -> DataFrame:
     out = fix_types(join_weather(flow, complete_weather(wx)))
     return drop_incomplete(out.select(*flow.columns, *WEATHER_COLUMNS))

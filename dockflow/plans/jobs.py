@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from dockflow.operators.filters import drop_incomplete, valid_stations
 from dockflow.operators.lags import smooth
 from dockflow.operators.models import fit_flow
 from dockflow.operators.weather import join_weather_auto
-from dockflow.plans.flow import build_flow
+from dockflow.plans.incremental import FlowStore
 from dockflow.plans.pipeline import FeaturePipeline, PipelineConfig
 from dockflow.session import shuffle_width
 from dockflow.sources.status import append_batches
@@ -38,29 +39,30 @@ def merged_log(raw: DataFrame, incoming: DataFrame) -> DataFrame:
 def refresh(
     spark: SparkSession, root: str, incoming: DataFrame, weather: DataFrame, cal: Calendars, days: int = 30, **options,
 ) -> DataFrame:
-    """Append newer rows to the stored log and the weather to its log, rebuild the flow table from both, and
-    publish the flow, its 7-day slice and this refresh's statistics.
+    """Append newer rows to the stored log and the weather to its log, merge them into the flow, and publish the flow's
+    7-day slice and this refresh's statistics.
 
-    Gap handling looks back and ahead within a station, so the flow is rebuilt from the log and
-    never patched by day. The log is written per day; a re-run of a failed refresh appends
-    rows that de-duplication removes again.
+    Newer means after the hour of the newest row merged before, which the store's manifest names: the log is not read again.
+    A failed refresh that is run again appends its rows twice; merging and de-duplication take them once.
     """
-    log = f"{root}/status"
-    try:
-        fresh = newer_than(incoming, load_table(spark, log).drop("day"))
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        fresh = incoming
-    append_status(fresh, log)
-    reports = load_table(spark, log).drop("day")
-    mark = reports.agg(F.date_format(F.max("dt"), "yyyyMMddHH").alias("mark")).first()["mark"]
+    store = flow_store(spark, root, **options)
+    state = store.state()
+    if state and state.mark:
+        incoming = incoming.filter(F.col("dt") > F.lit(str(state.mark.replace(minute=0, second=0, microsecond=0))).cast("timestamp_ntz"))
+    append_status(incoming, f"{root}/status")
+    store.merge(incoming)
+    state = store.state()
+    mark = state.mark.strftime("%Y%m%d%H")
     known = append_weather(weather, f"{root}/weather", f"h{mark}")
-    flow = build_flow(reports, known, cal.holidays, cal.breaks, cal.uni_breaks, **options)
-    stored = publish(flow, f"{root}/flow")
-    publish(recent_slice(stored), f"{root}/flow_recent")
-    write_stats(profile_report(stored, days), f"{root}/stats", f"h{mark}")
-    return stored
+    flow = store.flow(known, cal.holidays, cal.breaks, cal.uni_breaks)
+    latest = store.flow(known, cal.holidays, cal.breaks, cal.uni_breaks, since=max(state.days, default=state.mark.date()) - timedelta(days=8))
+    publish(recent_slice(latest), f"{root}/flow_recent")
+    write_stats(profile_report(flow, days), f"{root}/stats", f"h{mark}")
+    return flow
+
+
+def flow_store(spark: SparkSession, root: str, **options) -> FlowStore:
+    return FlowStore(spark, f"{root}/flow", **options)
 
 
 def retrain(

@@ -146,5 +146,5 @@ def _(spark, sf):
     root, s = scratch_path(spark, "refresh"), status(spark, sf)
     wx, cal = weather(spark, sf), calendars(spark)
     half = F.lit("2024-01-15 07:30:00").cast("timestamp_ntz")
-    jobs.refresh(spark, root, s.filter(F.col("dt") < half), wx, cal, days=5)
-    return rounded(jobs.refresh(spark, root, s, wx, cal, days=15), *FLOW_VALUES)
+    jobs.refresh(spark, root, s.filter(F.col("dt") < half), wx, cal, days=5, buckets=4)
+    return rounded(jobs.refresh(spark, root, s, wx, cal, days=15, buckets=4), *FLOW_VALUES)

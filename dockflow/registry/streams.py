@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.plans.flow import build_flow
+from dockflow.plans.incremental import FlowStore
 from dockflow.registry.base import COPIED, FLOW, FLOW_VALUES, HEALTH, HOURLY, STATUS, calendars, copied_status, query, rounded, s6, status, weather
 from dockflow.registry.cleaning import STATUS_ROWS, hourly, status_payloads
 from dockflow.registry.reports import health
@@ -88,16 +88,14 @@ def _(spark, sf):
 
 @query("k07_refresh_stream", f"WITH {FLOW} SELECT * FROM flow")
 def _(spark, sf):
-    """The log landing in three batches; each rebuilds and publishes the whole flow, with outliers and weather."""
+    """The log landing in three batches; each is merged into the stored flow, with outliers; weather is joined when it is read."""
     path, log, out = (scratch_path(spark, n) for n in ("refresh-landing", "stream-log", "stream-flow"))
     s, wx, cal = status(spark, sf), weather(spark, sf), calendars(spark)
     cuts = ["2000-01-01", "2024-01-11", "2024-01-21", "2100-01-01"]
     for low, high in zip(cuts, cuts[1:]):
         part = s.filter((F.col("dt") >= F.lit(low).cast("timestamp_ntz")) & (F.col("dt") < F.lit(high).cast("timestamp_ntz")))
-        part.coalesce(1).write.mode("append").parquet(path)
-
-    def rebuild(rows: DataFrame) -> DataFrame:
-        return rounded(build_flow(rows, wx, cal.holidays, cal.breaks, cal.uni_breaks), *FLOW_VALUES)
-
-    jobs.refresh_stream(jobs.landed_tables(spark, path, STATUS_SCHEMA, max_files=1), log, out, scratch_path(spark, "refresh-checkpoint"), rebuild)
-    return jobs.current_flow(spark, out)
+        part.repartition(shuffle_width(spark), "station").write.mode("append").parquet(path)
+    store = FlowStore(spark, out, buckets=4)
+    stream = jobs.landed_tables(spark, path, STATUS_SCHEMA, max_files=shuffle_width(spark))
+    jobs.refresh_stream(stream, store, log, scratch_path(spark, "refresh-checkpoint"))
+    return rounded(store.flow(wx, cal.holidays, cal.breaks, cal.uni_breaks), *FLOW_VALUES)

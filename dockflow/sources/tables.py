@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,33 +27,57 @@ def save_table(df: DataFrame, path: str, partition_by: str | None = None, mode:
     writer.parquet(path)
 
 
-def publish(df: DataFrame, path: str) -> DataFrame:
+def publish(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
     """Write a new version of a table and switch to it; readers see the old one until the new one is complete.
 
-    The switch is one appended record, so a crash in between leaves the old version current.
+    The switch is one record in a folder of its own number, which only one of two writers can create: the other fails and
+    changes nothing. A crash in between leaves the old version current. The newest ``keep`` versions stay for readers
+    that began before the switch, older ones are removed.
     """
     spark = df.sparkSession
     version = uuid.uuid4().hex
+    numbers = published_numbers(spark, f"{path}/published")
     save_table(df, f"{path}/versions/{version}")
-    number = spark.read.schema("number long, version string").json(f"{path}/published").count() if _exists(spark, f"{path}/published") else 0
-    spark.range(1).select(F.lit(number).cast("long").alias("number"), F.lit(version).alias("version")).write.mode("append").json(f"{path}/published")
+    number = max(numbers, default=-1) + 1
+    spark.range(1).select(F.lit(version).alias("version")).coalesce(1).write.json(f"{path}/published/number={number}")
+    for old in sorted(numbers)[:max(len(numbers) + 1 - keep, 0)]:
+        gone = spark.read.schema("version string").json(f"{path}/published/number={old}").first()
+        remove(spark, f"{path}/published/number={old}")
+        if gone:
+            remove(spark, f"{path}/versions/{gone['version']}")
     return current_table(spark, path)
 
 
 def current_table(spark: SparkSession, path: str) -> DataFrame:
     """The published version of a table."""
-    newest = spark.read.schema("number long, version string").json(f"{path}/published").orderBy(F.desc("number")).first()
+    number = max(published_numbers(spark, f"{path}/published"))
+    newest = spark.read.schema("version string").json(f"{path}/published/number={number}").first()
     return load_table(spark, f"{path}/versions/{newest['version']}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return False
-    return True
+def _folder(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
+def published_numbers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the finished ``number=N`` folders; one without its success mark belongs to a writer that died."""
+    return sorted(int(n.split("=")[1]) for n in folders(spark, path) if n.startswith("number=") and exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    files, at = _folder(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(at) if s.isDirectory()] if files.exists(at) else []
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, at = _folder(spark, path)
+    return files.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, at = _folder(spark, path)
+    files.delete(at, True)
 
 
 def append_weather(df: DataFrame, path: str, loaded: str) -> DataFrame:

@@ -7,7 +7,7 @@ landed and stops, as the hourly pull does.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from dockflow.functions.timefn import as_clock, as_instant
+from dockflow.plans.incremental import FlowStore
 from dockflow.sources.status import parse_status
-from dockflow.sources.tables import current_table, publish
 
 
 def landed_tables(spark: SparkSession, path: str, schema: str, glob: str | None = None, max_files: int = 1000) -> DataFrame:
@@ -135,26 +135,17 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append"
     query.awaitTermination()
 
 
-def refresh_stream(
-    incoming: DataFrame, log: str, out: str, checkpoint: str, rebuild: Callable[[DataFrame], DataFrame],
-) -> None:
-    """Per batch: append to the log, rebuild the flow from the whole log, and publish it.
+def refresh_stream(incoming: DataFrame, store: FlowStore, log: str, checkpoint: str) -> None:
+    """Per batch: write its rows to the log, and merge them into the flow.
 
-    Bounds of the network, outlier passes and reconstruction look at all stations and back and ahead in time, so no
-    part of the table can be rebuilt alone. The log's part is replaced per batch id and a published version is
-    complete, which makes a repeated batch harmless.
+    The log's part is replaced per batch id, and the store passes over an id its manifest has, so a repeated batch is harmless.
     """
     def batch(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
-        stored = df.sparkSession.read.option("basePath", log).parquet(f"{log}/batch=*").filter(F.col("batch") <= batch_id).drop("batch")
-        publish(rebuild(stored), out)
+        part = f"{log}/batch={batch_id}"
+        df.write.mode("overwrite").parquet(part)
+        store.merge(df.sparkSession.read.schema(df.schema).parquet(part), batch_id)
 
     query = (
         incoming.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-
-
-def current_flow(spark: SparkSession, out: str) -> DataFrame:
-    """The flow of the newest finished batch."""
-    return current_table(spark, out)

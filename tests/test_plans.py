@@ -88,9 +88,8 @@ def test_refresh_in_two_steps_equals_one(spark, sf, tmp_path):
     s, wx, cal = base.status(spark, sf), base.weather(spark, sf), base.calendars(spark)
     cut = F.lit("2024-01-15 07:30:00").cast("timestamp_ntz")
     root = str(tmp_path / "data")
-    jobs.refresh(spark, root, s.filter(F.col("dt") < cut), wx, cal, days=5)
-    jobs.refresh(spark, root, s, wx, cal, days=15)
-    flow = tables.current_table(spark, f"{root}/flow")
+    jobs.refresh(spark, root, s.filter(F.col("dt") < cut), wx, cal, days=5, buckets=4)
+    flow = jobs.refresh(spark, root, s, wx, cal, days=15, buckets=4)
     want = base.flow(spark, sf)
     got = base.rounded(flow, *base.FLOW_VALUES)
     assert got.select(want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
@@ -105,8 +104,8 @@ def test_new_weather_alone_keeps_the_older_flow(spark, sf, tmp_path):
     s, wx, cal = base.status(spark, sf), base.weather(spark, sf), base.calendars(spark)
     cut = F.lit("2024-01-15 07:30:00").cast("timestamp_ntz")
     root = str(tmp_path / "data")
-    jobs.refresh(spark, root, s.filter(F.col("dt") < cut), wx.filter(F.col("datehour") < cut), cal, days=5)
-    got = jobs.refresh(spark, root, s, wx.filter(F.col("datehour") >= cut), cal, days=15)
+    jobs.refresh(spark, root, s.filter(F.col("dt") < cut), wx.filter(F.col("datehour") < cut), cal, days=5, buckets=4)
+    got = jobs.refresh(spark, root, s, wx.filter(F.col("datehour") >= cut), cal, days=15, buckets=4)
     want = base.flow(spark, sf)
     got = base.rounded(got, *base.FLOW_VALUES)
     assert got.select(want.columns).exceptAll(want).count() == 0 and got.count() == want.count()

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from dockflow.operators import dedup
 from dockflow.plans.flow import build_station_flow
+from dockflow.plans.incremental import FlowStore
 from dockflow.registry import base
 from dockflow.registry.streams import STATUS_SCHEMA
 from dockflow.sources.tables import load_table
@@ -95,19 +96,19 @@ def test_streams_do_not_follow_the_session_zone(spark, tmp_path):
 def test_refresh_publishes_the_whole_flow_of_all_batches(spark, tmp_path, sf):
     status, cal = base.status(spark, sf), base.calendars(spark)
     cut = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
-
-    def rebuild(rows):
-        return build_station_flow(rows, cal.holidays, cal.breaks, cal.uni_breaks)
-
-    args = (str(tmp_path / "log"), str(tmp_path / "out"), str(tmp_path / "cp"), rebuild)
+    store = FlowStore(spark, str(tmp_path / "out"), buckets=2)
+    args = (store, str(tmp_path / "log"), str(tmp_path / "cp"))
     stream = lambda: jobs.landed_tables(spark, str(tmp_path / "in"), STATUS_SCHEMA)
     late = status.filter((F.col("dt") >= cut) & (F.col("station") != "3"))
     status.filter(F.col("dt") < cut).coalesce(1).write.parquet(str(tmp_path / "in"))
     jobs.refresh_stream(stream(), *args)
     late.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     jobs.refresh_stream(stream(), *args)
-    flow, want = jobs.current_flow(spark, str(tmp_path / "out")), rebuild(status.filter(F.col("dt") < cut).unionByName(late))
+    want = build_station_flow(status.filter(F.col("dt") < cut).unionByName(late), cal.holidays, cal.breaks, cal.uni_breaks)
+    flow = store.station_flow(cal.holidays, cal.breaks, cal.uni_breaks)
     key = ["station", "datehour", F.round("bikes", 6), F.round("delta", 6)]
     assert sorted(map(str, flow.select(*key).collect())) == sorted(map(str, want.select(*key).collect()))
     ends = {r.e for r in flow.groupBy("station").agg(F.max("datehour").alias("e")).collect()}
     assert len(ends) == 1, "all stations reach the same hour"
+    store.merge(status.limit(5), 1)
+    assert len(store.state().days) > 0 and store.state().batch == 1, "a batch that is in already does nothing"
