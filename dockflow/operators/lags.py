@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from dockflow.functions.days import day_off
 from dockflow.functions.timefn import hour_index
 from dockflow.operators.grid import by_hour
+from dockflow.operators.lookup import bucket_count, requested_part
 from dockflow.session import shuffle_width
 
 # Peak hours of the lag features (inclusive) and their columns.
@@ -105,8 +106,11 @@ def join_lags(
     hour), peak means over (station, weekday). The own hour's value and 3-hour mean are targets,
     so a request sees only earlier history rows; the means are built from earlier values and may
     come from its own hour. ``leak_free=False`` includes the own hour and fills backward inside
-    the key, as a reading of known history does.
+    the key, as a reading of known history does. Of a history in the layout by station only the requested buckets and days
+    are opened, and only rows of requested stations are stacked.
     """
+    if bucket_count(hist):
+        hist = requested_part(hist, req, until=leak_free)
     columns = columns or LAG_COLUMNS
     kept = [c for c in req.columns if c not in columns]
     tagged = req.select(*kept).withColumns({"dayoff": day_off(), "_req": F.lit(1)})

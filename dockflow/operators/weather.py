@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from dockflow.functions.timefn import ONE_HOUR, hour_index
 from dockflow.operators.filters import WEATHER_COLUMNS, drop_incomplete
 from dockflow.operators.grid import hour_axis, hour_bounds, hour_grid
+from dockflow.operators.lookup import bucket_count, requested_part
 
 GROWING = (W.unboundedPreceding, 0)
 
@@ -80,8 +81,13 @@ def join_weather(flow: DataFrame, wx: DataFrame) -> DataFrame:
 
 def join_weather_past(req: DataFrame, flow: DataFrame) -> DataFrame:
     """Recorded weather of past (station, hour) requests; requests without a record are dropped."""
-    recorded = flow.select("station", "datehour", *WEATHER_COLUMNS)
-    return req.drop(*WEATHER_COLUMNS).join(recorded, ["station", "datehour"])
+    return req.drop(*WEATHER_COLUMNS).join(_recorded(req, flow), ["station", "datehour"])
+
+
+def _recorded(req: DataFrame, flow: DataFrame) -> DataFrame:
+    if bucket_count(flow):
+        flow = requested_part(flow, req, since=True)
+    return flow.select("station", "datehour", *WEATHER_COLUMNS)
 
 
 def join_weather_future(req: DataFrame, fc: DataFrame) -> DataFrame:
@@ -95,8 +101,16 @@ def join_weather_future(req: DataFrame, fc: DataFrame) -> DataFrame:
 
 
 def join_weather_auto(req: DataFrame, flow: DataFrame, fc: DataFrame) -> DataFrame:
-    """Recorded weather up to the newest recorded hour, forecast weather after it."""
-    newest = flow.agg(F.max("datehour").alias("newest")).scalar()
-    past = join_weather_past(req.filter(F.col("datehour") <= newest), flow)
-    future = join_weather_future(req.filter(F.col("datehour") > newest), fc)
-    return past.unionByName(future)
+    """Recorded weather up to the newest recorded hour, forecast weather after it, in one pass over the requests.
+
+    Of a flow in the layout by station the newest hour is looked up in its newest day, and only requested buckets and days are joined.
+    """
+    last = flow
+    if bucket_count(flow):
+        last = flow.filter(F.col("day") == flow.agg(F.max("day").alias("d")).scalar())
+    newest = last.agg(F.max("datehour").alias("newest")).scalar()
+    past = F.col("datehour") <= newest
+    recorded = _recorded(req, flow).withColumnsRenamed({c: f"_was_{c}" for c in WEATHER_COLUMNS}).withColumn("_known", F.lit(True))
+    both = join_weather_future(req, fc).join(recorded, ["station", "datehour"], "left").filter(~past | F.col("_known"))
+    chosen = [F.when(past, F.col(f"_was_{c}")).otherwise(F.col(c)).alias(c) for c in WEATHER_COLUMNS]
+    return both.select(*[c for c in req.columns if c not in WEATHER_COLUMNS], *chosen)

@@ -21,7 +21,7 @@ from dockflow.plans.incremental import FlowStore
 from dockflow.plans.pipeline import FeaturePipeline, PipelineConfig
 from dockflow.session import shuffle_width
 from dockflow.sources.status import append_batches
-from dockflow.sources.tables import append_status, append_weather, load_table, newer_than, publish, recent_slice, save_table, write_stats
+from dockflow.sources.tables import append_status, append_weather, current_table, load_table, newer_than, publish, recent_slice, save_table, write_stats
 
 
 @dataclass
@@ -85,7 +85,7 @@ def retrain(
     if pipeline.clusters is not None:
         stations = stations.join(pipeline.clusters.select("station", "cluster", "metacluster"), "station", "left")
     save_table(stations, f"{path}/stations")
-    save_table(pipeline.transform(train), f"{path}/features")
+    save_table(pipeline.transform(train, fitting=True), f"{path}/features")
     rows = rush_weights(
         load_table(flow.sparkSession, f"{path}/features"), F.lit(pipeline.low), F.lit(pipeline.high), wl, wh
     )
@@ -136,6 +136,16 @@ def predict(
     return model.transform(pipeline.transform(rows)).select("station", "datehour", "prediction")
 
 
+def predict_stored(
+    spark: SparkSession, root: str, model_path: str, stations: DataFrame, hours: DataFrame, forecast: DataFrame, cal: Calendars,
+) -> DataFrame:
+    """Predictions from what the jobs left: the model with its stations, and the flow's published 7-day slice for hours
+    already recorded. The whole flow isn't opened."""
+    pipeline, model, dim = load_model(spark, model_path)
+    recent = current_table(spark, f"{root}/flow_recent")
+    return predict(valid_stations(stations, dim), hours, pipeline, model, dim, recent, forecast, cal)
+
+
 def predict_day(dates: DataFrame, pipeline, model, dim: DataFrame, flow: DataFrame, forecast: DataFrame, cal: Calendars) -> DataFrame:
     """All stations for every hour of the given dates."""
     return predict(dim, day_hours(dates), pipeline, model, dim, flow, forecast, cal)

@@ -13,11 +13,13 @@ from dockflow.operators.clusters import CLUSTER_RANGE, REGION_RANGE, cluster_sta
 from dockflow.operators.features import minmax_apply, minmax_fit, onehot_apply, onehot_fit
 from dockflow.operators.filters import float_features, observed_only
 from dockflow.operators.lags import HISTORY_DAYS, LAG_COLUMNS, PEAK_MEANS, join_lags, lag_history
+from dockflow.operators.lookup import load_by_station, save_by_station
 from dockflow.operators.ranking import margins
 from dockflow.session import scratch_path
 from dockflow.sources.tables import last_days, load_table, save_table, write_and_read
 
 
+# Names of the switches and column lists of a stored parameter file, and their defaults.
 @dataclass
 class PipelineConfig:
     """Switches and column lists of the pipeline."""
@@ -100,8 +102,12 @@ class FeaturePipeline:
         marker = ["reconstructed"] if c.reconstructed else []
         return [*c.scale, *c.nonscale, *c.lag_columns, *time, *hot, *marker]
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Station, hour, every feature as a double without nulls, and the target if present."""
+    def transform(self, df: DataFrame, fitting: bool = False) -> DataFrame:
+        """Station, hour, every feature as a double without nulls, and the target if present.
+
+        A lag that isn't known yet takes its mean over the history; rows to fit on (``fitting``) are dropped instead, as a model would learn
+        from guesses. A lag that no row of the history has, as it is too short for it, is 0 everywhere.
+        """
         c = self.config
         out = df if c.reconstructed else observed_only(df)
         if self.clusters is not None:
@@ -109,6 +115,8 @@ class FeaturePipeline:
         lags = c.lag_columns
         if lags:
             out = join_lags(out, self.history, lags, c.leak_free)
+            if fitting:
+                out = out.na.drop(subset=[k for k in lags if self.lag_means[k] is not None])
             out = out.withColumns({k: F.coalesce(k, F.lit(self.lag_means[k]), F.lit(0.0)) for k in lags})
             out = minmax_apply(out, {k: v or 0.0 for k, v in self.lag_bounds.items()}, lags)
         if c.encode_time:
@@ -126,7 +134,7 @@ class FeaturePipeline:
         if self.clusters is not None:
             save_table(self.clusters, f"{path}/clusters")
         if self.history is not None:
-            save_table(last_days(self.history, HISTORY_DAYS, strict=True), f"{path}/history")
+            save_by_station(last_days(self.history, HISTORY_DAYS, strict=True), f"{path}/history")
         state = {k: getattr(self, k) for k in ("bounds", "lag_bounds", "lag_means", "vocabulary", "low", "high")}
         text = json.dumps({"config": asdict(self.config), **state})
         spark = SparkSession.active()
@@ -141,5 +149,5 @@ class FeaturePipeline:
         if config.clusterize:
             out.clusters = load_table(spark, f"{path}/clusters")
         if config.lag_columns:
-            out.history = load_table(spark, f"{path}/history")
+            out.history = load_by_station(spark, f"{path}/history")
         return out

@@ -9,24 +9,36 @@ from dockflow.operators import dedup, features, lags, scores
 from dockflow.operators import models as model_ops
 from dockflow.operators import reports as report_ops
 from dockflow.operators import weather as wx_ops
+from dockflow.operators.lookup import load_by_station, save_by_station
 from dockflow.operators.ranking import margins
 from dockflow.plans import jobs
 from dockflow.registry.base import (
-    FLOW, HOURLY, MARGINS, SCORED, STATUS, WEATHER, flow, query, rounded, s4, s6, scored, status, stored, table,
+    FLOW, HOURLY, MARGINS, SCORED, STATUS, WEATHER, flow, query, rounded, s4, s6, scored, status, table,
 )
 from dockflow.registry.cleaning import HOURLY_FORECAST, WX_COLS, forecast
-from dockflow.sources.tables import last_days
+from dockflow.session import scratch_path
 
-# Requests: station-hours on both sides of the newest flow hour.
+# Requests: every flow hour, and the same hours five days later, which reach past the newest one.
 REQUEST = FLOW + """, req AS (
-  SELECT DISTINCT station, datehour + INTERVAL 5 DAY AS datehour FROM flow
-  WHERE datehour >= (SELECT max(datehour) FROM flow) - INTERVAL 10 DAY)"""
+  SELECT station, datehour FROM flow UNION SELECT station, datehour + INTERVAL 5 DAY FROM flow)"""
 
 
 def requests(spark, sf) -> DataFrame:
-    """Station-hours reaching from five days before to five days after the newest flow hour."""
-    recent = last_days(flow(spark, sf).select("station", "datehour"), 10)
-    return recent.withColumn("datehour", F.col("datehour") + F.expr("interval 5 days"))
+    """Every station-hour of the flow and those up to five days after the newest one."""
+    known = flow(spark, sf).select("station", "datehour")
+    return known.unionByName(known.withColumn("datehour", F.col("datehour") + F.expr("interval 5 days"))).distinct()
+
+
+def flow_by_station(spark, sf) -> DataFrame:
+    """The flow in the layout that lookups by station and day prune."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LAID_OUT:
+        _LAID_OUT[key] = scratch_path(spark, "flow-by-station")
+        save_by_station(flow(spark, sf), _LAID_OUT[key], 4)
+    return load_by_station(spark, _LAID_OUT[key])
+
+
+_LAID_OUT: dict[tuple[str, str], str] = {}
 
 
 @query("d05_join_station", f"""WITH {HOURLY}, r AS (SELECT CAST(c_custkey AS VARCHAR) AS station, c_name FROM customer)
@@ -40,7 +52,7 @@ def _(spark, sf):
 @query("d06_join_weather_past", f"""WITH {REQUEST} SELECT r.station, r.datehour, temp, precip, gel, vent FROM req r
 JOIN flow f ON r.station = f.station AND r.datehour = f.datehour""")
 def _(spark, sf):
-    return wx_ops.join_weather_past(requests(spark, sf), flow(spark, sf))
+    return wx_ops.join_weather_past(requests(spark, sf), flow_by_station(spark, sf))
 
 
 def shifted_forecast(spark, sf) -> DataFrame:
@@ -66,7 +78,7 @@ SELECT station, datehour, {WX_COLS} FROM (
   SELECT r.station, r.datehour, temp, precip, gel, vent FROM req r LEFT JOIN later w ON r.datehour = w.datehour
   WHERE r.datehour > (SELECT max(datehour) FROM flow))""")
 def _(spark, sf):
-    out = wx_ops.join_weather_auto(requests(spark, sf), flow(spark, sf), shifted_forecast(spark, sf))
+    out = wx_ops.join_weather_auto(requests(spark, sf), flow_by_station(spark, sf), shifted_forecast(spark, sf))
     return rounded(out, "temp", "precip", "gel", "vent")
 
 
@@ -168,20 +180,23 @@ HISTORY = PEAKS + peak_means_sql("peaks", 8, 4) + f""", hist AS (
 
 
 def history(spark, sf) -> DataFrame:
-    return stored(spark, sf, "history", lambda: lags.lag_history(flow(spark, sf)))
+    key = (spark.sparkContext.applicationId, sf + "#history")
+    if key not in _LAID_OUT:
+        _LAID_OUT[key] = scratch_path(spark, "history")
+        save_by_station(lags.lag_history(flow(spark, sf)), _LAID_OUT[key], 4)
+    return load_by_station(spark, _LAID_OUT[key])
 
 
 def lag_requests(spark, sf) -> DataFrame:
-    """Every flow hour of the last ten days and the same hours a week later."""
-    recent = last_days(flow(spark, sf), 10).select("station", "datehour", "weekday", "hour", "holiday", "pont")
-    later = recent.withColumn("datehour", F.col("datehour") + F.expr("interval 14 days"))
-    return recent.unionByName(later)
+    """Every flow hour and the same hours two weeks later."""
+    known = flow(spark, sf).select("station", "datehour", "weekday", "hour", "holiday", "pont")
+    return known.unionByName(known.withColumn("datehour", F.col("datehour") + F.expr("interval 14 days")))
 
 
 LAG_REQ = HISTORY + """, lreq AS (
-  SELECT station, datehour, weekday, hour, holiday, pont FROM flow WHERE datehour >= (SELECT max(datehour) FROM flow) - INTERVAL 10 DAY
+  SELECT station, datehour, weekday, hour, holiday, pont FROM flow
   UNION ALL
-  SELECT station, datehour + INTERVAL 14 DAY, weekday, hour, holiday, pont FROM flow WHERE datehour >= (SELECT max(datehour) FROM flow) - INTERVAL 10 DAY)"""
+  SELECT station, datehour + INTERVAL 14 DAY, weekday, hour, holiday, pont FROM flow)"""
 
 
 def carried_sql(cols: list[str], leak_free: bool) -> str:

@@ -11,6 +11,7 @@ from dockflow.plans.pipeline import FeaturePipeline, PipelineConfig
 from dockflow.registry import base
 from dockflow.registry import models as reg
 from dockflow.registry.features import shifted_forecast
+from dockflow.sources.tables import publish, recent_slice
 
 STATION = "cluster int, station string, lon double, lat double"
 
@@ -124,3 +125,26 @@ def test_predictions_cover_the_request(spark, sf):
     assert {r.station for r in one} == {"3"} and len(one) == 48
     by_key = {(r.station, r.datehour): r.prediction for r in rows}
     assert all(by_key[r.station, r.datehour] == pytest.approx(r.prediction) for r in one)
+
+
+def test_fit_rows_have_no_guessed_lags(spark, sf):
+    flow = base.flow(spark, sf)
+    pipeline = FeaturePipeline.fit(flow, PipelineConfig(clusterize=False, hotencode=[], mean_peaks=False))
+    fitted, all_rows = pipeline.transform(flow, fitting=True), pipeline.transform(flow)
+    assert filters.null_audit(fitted).first().null_cells == 0 and 0 < fitted.count() < all_rows.count()
+    known = pipeline.history.select("station", "weekday", "hour", "dayoff", "datehour", "lagged_value")
+    first = known.filter("lagged_value is not null").groupBy("station", "weekday", "hour", "dayoff").agg(F.min("datehour").alias("first"))
+    keyed = fitted.select("station", "datehour").join(flow.withColumn("dayoff", F.greatest("holiday", "pont")), ["station", "datehour"])
+    assert keyed.join(first, ["station", "weekday", "hour", "dayoff"]).filter("datehour <= first").count() == 0
+
+
+def test_stored_model_and_recent_slice_predict(spark, sf, tmp_path):
+    root, path, cal = str(tmp_path / "data"), reg.retrained(spark, sf), base.calendars(spark)
+    flow = base.flow(spark, sf)
+    publish(recent_slice(flow), f"{root}/flow_recent")
+    hours = flow.select((F.col("datehour") + F.expr("interval 12 hours")).alias("datehour")).distinct().filter("datehour > timestamp_ntz'2024-01-30 00:00:00'")
+    wanted = flow.select("station").distinct().limit(3)
+    got = jobs.predict_stored(spark, root, path, wanted, hours, shifted_forecast(spark, sf), cal)
+    pipeline, model, dim = jobs.load_model(spark, path)
+    want = jobs.predict(wanted, hours, pipeline, model, dim, flow, shifted_forecast(spark, sf), cal)
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() > 0
