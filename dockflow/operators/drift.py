@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.operators.ranking import ks_stat, quantiles_of, ranked_values
+from dockflow.operators.ranking import exact_quantiles, ks_stat
 
 # Profiled columns.
 PROFILE_VALUES = ["delta", "temp", "precip", "vent"]
@@ -22,43 +22,30 @@ def profile(df: DataFrame, values: list[str] | None = None, selection: str = "fu
     """Long rows (selection, category, metric, value): row and null counts, quartiles, fences,
     outliers beyond the fences and extremes of every value column.
 
-    Outliers are counted from the per-value counts, so the data is read once for the counts and
-    once for the nulls.
+    Three passes: range totals, the opened ranges, and one count of rows, nulls and values beyond the fences.
     """
     values = values or PROFILE_VALUES
-    any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in df.columns])
-    nulls = df.agg(
-        F.count(F.lit(1)).alias("all"), F.count_if(any_null).alias("na"),
-        *[F.count_if(F.col(v).isNull()).alias(f"{v}_na") for v in values],
-    )
-    ranked = ranked_values(df, values)
-    q = quantiles_of(ranked, [0.25, 0.5, 0.75]).withColumn("_iqr", (F.col("q_2") - F.col("q_0")) * 1.5)
+    q = exact_quantiles(df, values, [0.25, 0.5, 0.75]).withColumn("_iqr", (F.col("q_2") - F.col("q_0")) * 1.5)
     q = q.select(
         "metric", F.col("q_0").alias("q1"), F.col("q_1").alias("q2"), F.col("q_2").alias("q3"),
         (F.col("q_2") + F.col("_iqr")).alias("high"), (F.col("q_0") - F.col("_iqr")).alias("low"),
         F.col("low").alias("min"), F.col("high").alias("max"),
     )
-
-    def total(cond: Column) -> Column:
-        return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
-
-    fenced = ranked.select("metric", "value", "n").join(F.broadcast(q.select("metric", "low", "high")), "metric")
-    out = fenced.groupBy("metric").agg(
-        total(F.col("value") > F.col("high")).alias("outliers_top"),
-        total(F.col("value") < F.col("low")).alias("outliers_bottom"),
-    ).withColumn("outliers", F.col("outliers_top") + F.col("outliers_bottom"))
-
-    def spread(wide: DataFrame, category: str, names: list[str]) -> DataFrame:
-        pairs = [F.struct(F.concat("metric", F.lit(f"_{n}")).alias("name"), F.col(n).cast("double").alias("value")) for n in names]
-        return wide.select(
-            F.lit(selection).alias("selection"), F.lit(category).alias("category"), F.inline(F.array(*pairs))
-        ).withColumnRenamed("name", "metric")
-
-    return (
-        _long(nulls, selection, "count", nulls.columns)
-        .unionByName(spread(out, "count", ["outliers_top", "outliers_bottom", "outliers"]))
-        .unionByName(spread(q, "stats", ["q1", "q2", "q3", "high", "low", "min", "max"]))
+    fences = q.agg(F.map_from_entries(F.collect_list(F.struct("metric", F.struct("low", "high")))).alias("f")).scalar()
+    any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in df.columns])
+    top = {v: F.count_if(F.col(v).cast("double") > F.col("_fences")[v]["high"]) for v in values}
+    bottom = {v: F.count_if(F.col(v).cast("double") < F.col("_fences")[v]["low"]) for v in values}
+    counts = df.withColumn("_fences", fences).agg(
+        F.count(F.lit(1)).alias("all"), F.count_if(any_null).alias("na"),
+        *[F.count_if(F.col(v).isNull()).alias(f"{v}_na") for v in values],
+        *[c for v in values for c in (
+            F.when(F.count(v) > 0, top[v]).alias(f"{v}_outliers_top"), F.when(F.count(v) > 0, bottom[v]).alias(f"{v}_outliers_bottom"),
+            F.when(F.count(v) > 0, top[v] + bottom[v]).alias(f"{v}_outliers"))],
     )
+    stats = [F.struct(F.concat("metric", F.lit(f"_{n}")).alias("name"), F.col(n).cast("double").alias("value")) for n in ("q1", "q2", "q3", "high", "low", "min", "max")]
+    spread = q.select(F.lit(selection).alias("selection"), F.lit("stats").alias("category"), F.inline(F.array(*stats))).withColumnRenamed("name", "metric")
+    # A column without values has no outlier counts.
+    return _long(counts, selection, "count", counts.columns).filter("value is not null").unionByName(spread)
 
 
 def periods(df: DataFrame, days: int = 30, col: str = "datehour") -> tuple[DataFrame, DataFrame]:

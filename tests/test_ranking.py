@@ -58,3 +58,40 @@ def test_index_is_dense_in_value_order_and_unknown_is_minus_one(spark):
     assert {r.station: r.station_index for r in d.collect()} == {f"s{i:03d}": i for i in range(200)}
     out = features.index_apply(spark.createDataFrame([("s007",), ("zz",), (None,)], "station string"), d, "station")
     assert sorted(r.station_index for r in out.collect()) == [-1, -1, 7]
+
+
+def test_ranges_keep_the_order_of_doubles(spark):
+    x = np.concatenate([RNG.normal(size=400) * 10.0 ** RNG.integers(-300, 300, 400), [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, np.inf, -np.inf]])
+    rows = spark.createDataFrame([(float(v),) for v in x], "x double").select("x", ranking.value_range(F.col("x")).alias("r")).collect()
+    rows = sorted(rows, key=lambda r: r.x)
+    assert all(a.r <= b.r for a, b in zip(rows, rows[1:]))
+    assert spark.createDataFrame([(float("nan"),)], "x double").select(ranking.value_range(F.col("x"))).first()[0] > rows[-1].r
+
+
+def test_quantiles_of_wide_and_negative_values(spark):
+    x = np.concatenate([-(10.0 ** RNG.uniform(-5, 5, 300)), 10.0 ** RNG.uniform(-5, 5, 333), np.zeros(40)])
+    q = ranking.exact_quantiles(frame(spark, x), ["x"], [0.1, 0.33, 0.5, 0.77]).first()
+    assert np.allclose([q[f"q_{i}"] for i in range(4)], np.quantile(x, [0.1, 0.33, 0.5, 0.77])) and q["low"] == x.min() and q["high"] == x.max() and q["n"] == 673
+
+
+def test_ks_inside_one_range_and_of_an_empty_sample(spark):
+    a, b = 1000 + RNG.uniform(0, 0.5, 300), 1000 + RNG.uniform(0.1, 0.6, 200)
+    want = max(abs((a <= v).mean() - (b <= v).mean()) for v in np.concatenate([a, b]))
+    assert ranking.ks_stat(frame(spark, a), frame(spark, b), ["x"]).first()["ks"] == pytest.approx(want)
+    assert ranking.ks_stat(frame(spark, a), frame(spark, []), ["x"]).first()["ks"] is None
+
+
+def test_building_statistics_runs_no_job(spark):
+    df, tracker = frame(spark, SAMPLES["normal"][0]), spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    ranking.margins(df, "x"), ranking.ks_stat(df, df, ["x"]), profile(df, ["x"])
+    assert len(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_only_ranges_with_a_wanted_rank_are_opened(spark):
+    df = spark.range(200_000).select((F.col("id") * 1.0).alias("x"))
+    q = ranking.exact_quantiles(df, ["x"], [0.5])
+    q.collect()
+    text = q._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "repartition" not in text.lower()
+    assert q.first()["q_0"] == 99_999.5
