@@ -6,34 +6,46 @@ whole key group: each operator is an aggregate that is first combined inside eve
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dockflow.functions.timefn import arrival_key, hour_floor
 
 COPY_KEYS = ["dt", "bikes", "capacity", "station"]
 
 
-def _arrival() -> Column:
-    return F.struct("dt", "status_id")
+#: Types whose values a hash aggregate keeps in place.
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def first_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The first row in (dt, status_id) order of every key; rows without a time come first.
+
+    Columns of fixed width follow their row's arrival number in a hash table. Strings can't, so they group first, which
+    leaves a key with one row per different text; only these few are reduced as whole rows.
+    """
+    number = F.coalesce(F.col("status_id").cast("decimal(19,0)"), F.expr("-9300000000000000000BD"))
+    key = F.coalesce(arrival_key(), (number - F.expr("9000000000000000000000000000000000000BD")).cast("decimal(38,0)"))
+    rest = [c for c in df.columns if c not in keys]
+    fixed = [c for c in rest if isinstance(df.schema[c].dataType, FIXED_WIDTH)]
+    wide = [c for c in rest if c not in fixed]
+    seen = df.withColumn("_key", key).groupBy(*keys, *wide).agg(F.min("_key").alias("_first"), *[F.min_by(c, "_key").alias(c) for c in fixed])
+    if not wide:
+        return seen.select(*df.columns)
+    first = F.min_by(F.struct(*rest), "_first").alias("_row")
+    return seen.groupBy(*keys).agg(first).select(*keys, "_row.*").select(*df.columns)
 
 
 def drop_exact(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """One row per (dt, bikes, capacity, station): the one with the lowest status_id."""
-    keys = keys or COPY_KEYS
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), _arrival()).alias("_first")
-    return df.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*df.columns)
+    return first_rows(df, keys or COPY_KEYS)
 
 
 def first_per_hour(df: DataFrame) -> DataFrame:
     """First row per (station, hour) in (dt, status_id) order, with its ``datehour``."""
     hourly = df.withColumn("datehour", hour_floor(F.col("dt")))
-    rest = [c for c in df.columns if c != "station"]
-    first = F.min_by(F.struct(*rest), _arrival()).alias("_first")
-    return hourly.groupBy("station", "datehour").agg(first).select(
-        *[F.col("station") if c == "station" else F.col(f"_first.{c}") for c in df.columns], "datehour"
-    )
+    return first_rows(hourly, ["station", "datehour"])
 
 
 def duplicate_report(df: DataFrame) -> DataFrame:

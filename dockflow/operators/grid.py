@@ -7,12 +7,13 @@ station are then bounded by the calendar and balanced whatever the skew of the r
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dockflow.functions.timefn import ONE_HOUR, arrival_key, hour_floor, hour_index
-from dockflow.operators.dedup import station_dim
 from dockflow.session import shuffle_width
 
 ATTRIBUTES = ["lat", "lon", "name", "capacity"]
@@ -132,14 +133,20 @@ def dated(status: DataFrame) -> DataFrame:
     return status.filter("dt is not null and station is not null")
 
 
-def hourly_observations(status: DataFrame) -> DataFrame:
+def hourly_observations(status: DataFrame, stage=lambda df: df) -> DataFrame:
     """Complete hourly observations (station, datehour, bikes, lat, lon, name, capacity).
 
     The stock is the hour's first report, dropped when that report is incomplete. Capacity is
-    the station's largest stock in any report and its attributes are the latest ones.
+    the station's largest stock in any report and its attributes are the latest ones. All three come from one reduction
+    of the log per station, hour and attributes, which ``stage`` may store: the log is then read once.
     """
-    log = dated(status)
-    top = log.groupBy("station").agg(F.max("bikes").cast("double").alias("capacity"))
-    dim = station_dim(log.drop("capacity")).join(top, "station")
-    first = reduce_log(log).filter("complete").select("station", "datehour", F.col("bikes").cast("double").alias("bikes"))
-    return first.join(dim, "station").select("station", "datehour", "bikes", "lat", "lon", "name", "capacity")
+    key = arrival_key()
+    attributes = ["lat", "lon", "name"]
+    seen = stage(dated(status).groupBy("station", hour_floor(F.col("dt")).alias("datehour"), *attributes).agg(
+        F.min(key).alias("first"), F.min_by("bikes", key).cast("double").alias("bikes"), F.max("bikes").cast("double").alias("top"), F.max(key).alias("last"),
+    ))
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ("bikes", *attributes)])
+    first = seen.groupBy("station", "datehour").agg(F.min_by("bikes", "first").alias("bikes"), F.min_by(complete, "first").alias("complete"))
+    latest = seen.groupBy("station", *attributes).agg(F.max("last").alias("last"), F.max("top").alias("top"))
+    dim = latest.groupBy("station").agg(F.max_by(F.struct(*attributes), "last").alias("a"), F.max("top").alias("capacity")).select("station", "a.*", "capacity")
+    return first.filter("complete").drop("complete").join(dim, "station").select("station", "datehour", "bikes", *attributes, "capacity")

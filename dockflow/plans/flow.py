@@ -47,7 +47,7 @@ def build_station_flow(
     coverage counts, result) read that much smaller table instead of the log. From then on one
     placement by station serves every window and the join of the station attributes.
     """
-    hourly = stage(hourly_observations(status))
+    hourly = stage(hourly_observations(status, stage))
     flow = dense_series(hourly, max_gap=2 if reconstruct else 0)
     if drop_stations:
         counts = station_coverage(hourly)

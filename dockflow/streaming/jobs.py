@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from dockflow.functions.timefn import as_clock, as_instant
+from dockflow.functions.timefn import arrival_key, as_clock, as_instant
 from dockflow.plans.incremental import FlowStore
 from dockflow.sources.status import parse_status
 
@@ -43,10 +43,12 @@ def dedup_stream(df: DataFrame, delay: str = "2 hours", keys: tuple[str, ...] =
 
 
 def hourly_stream(df: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """First report per station and hour, emitted once the hour is closed."""
-    first = F.min_by(F.struct("status_id", "bikes", "dt"), F.struct("dt", "status_id")).alias("first")
-    hourly = event_time(df, delay).groupBy("station", F.window("event_time", "1 hour").alias("w")).agg(first)
-    return hourly.select("station", as_clock(F.col("w.start")).alias("datehour"), "first.*")
+    """First report per station and hour, emitted once the hour is closed; order and values are of fixed width, so the state
+    is kept by hash tables."""
+    columns = ["status_id", "bikes", "dt"]
+    timed = event_time(df, delay).withColumn("_key", arrival_key())
+    hourly = timed.groupBy("station", F.window("event_time", "1 hour").alias("w")).agg(*[F.min_by(c, "_key").alias(c) for c in columns])
+    return hourly.select("station", as_clock(F.col("w.start")).alias("datehour"), *columns)
 
 
 def health_stream(df: DataFrame, delay: str = "2 hours") -> DataFrame:

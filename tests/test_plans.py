@@ -80,8 +80,29 @@ def test_the_log_is_reduced_in_hash_tables(spark, sf):
 
 
 def test_dedup_combines_before_the_shuffle(spark, sf):
-    text = plan(dedup.first_per_hour(base.status(spark, sf)))
-    assert "partial_min_by" in text and "Window" not in text
+    for df in (dedup.first_per_hour(base.status(spark, sf)), dedup.drop_exact(base.status(spark, sf))):
+        text = plan(df)
+        assert "partial_min_by" in text and "Window" not in text
+        below = text[text.rindex("Exchange"):]
+        assert "HashAggregate" in below and "Sort" not in below, "the log itself is never sorted"
+
+
+def test_first_rows_with_null_times_and_many_names(spark):
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1, 5)
+    schema = "status_id bigint, station string, bikes int, capacity int, name string, dt timestamp_ntz"
+    rows = [(5, "a", 1, 9, "x", t), (3, "a", 2, 9, "y", t), (4, "a", 2, 9, None, t), (None, "b", 7, 9, "z", t), (1, "b", 8, 9, "z", t), (9, "c", 1, 9, "n", None), (8, "c", 3, 9, None, None)]
+    got = {r.station: (r.status_id, r.bikes, r.name) for r in dedup.first_per_hour(spark.createDataFrame(rows * 2, schema)).collect()}
+    assert got == {"a": (3, 2, "y"), "b": (None, 7, "z"), "c": (8, 3, None)}
+
+
+def test_the_flow_reads_the_log_once(spark, sf):
+    written = []
+    grid.hourly_observations(base.status(spark, sf), stage=lambda df: written.append(df) or df)
+    assert len(written) == 1 and plan(written[0]).count("FileScan") == 1
+    text = plan(written[0])
+    assert "Sort" not in text and text.count("Exchange") == 1
 
 
 def test_refresh_in_two_steps_equals_one(spark, sf, tmp_path):
