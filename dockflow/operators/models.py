@@ -9,7 +9,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.operators.features import rush_weights
+from dockflow.operators.features import rush_weights, tail_boundary
 from dockflow.operators.ranking import margins
 from dockflow.operators.scores import PRED, TRUE, _mae, _rmse, is_peak
 
@@ -24,15 +24,20 @@ def with_rush_weights(df: DataFrame, wl: float, wh: float, col: str = "delta") -
 
 def fit_flow(
     df: DataFrame, features: list[str], kind: str = "linear", weight_col: str | None = "weight",
-    target: str = "delta", seed: int = 0, **params,
+    target: str = "delta", seed: int = 0, validation_col: str | None = None, **params,
 ) -> PipelineModel:
     """Fit a weighted linear model or boosted trees on the feature columns.
 
-    A loss weighted by the true value alone is the same as a weight per row.
+    A loss weighted by the true value alone is the same as a weight per row. Rows marked by ``validation_col`` aren't fitted on; trees stop
+    at the round from which their error falls no further (``validationTol``).
     """
     options = {"featuresCol": "features", "labelCol": target, "predictionCol": "prediction", **params}
     if weight_col:
         options["weightCol"] = weight_col
+    if validation_col and kind == "linear":
+        df = df.filter(~F.col(validation_col))
+    elif validation_col:
+        options["validationIndicatorCol"] = validation_col
     if kind == "linear":
         model = LinearRegression(**{"regParam": 1e-3, **options})
     elif kind == "trees":
@@ -42,6 +47,18 @@ def fit_flow(
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), model]).fit(df)
 
 
+def mark_tail(df: DataFrame, frac: float, target: str = "validation") -> tuple[DataFrame, str | None]:
+    """Rows with a mark on the newest ``frac`` of them in whole hours, and the mark's name; unmarked and None if no whole hour fits."""
+    at = tail_boundary(df, frac).first()["boundary"]
+    return (df, None) if at is None else (df.withColumn(target, F.col("datehour") >= F.lit(at)), target)
+
+
+def rounds(model: PipelineModel) -> int | None:
+    """Trees that a fitted model kept; None for a linear one."""
+    last = model.stages[-1]
+    return last.getNumTrees if hasattr(last, "getNumTrees") else None
+
+
 def scored(model: PipelineModel, df: DataFrame, target: str = "delta") -> DataFrame:
     """Test rows with true and predicted flow."""
     out = model.transform(df).drop("features")

@@ -15,7 +15,7 @@ from dockflow.operators.drift import profile_report
 from dockflow.operators.features import rush_weights
 from dockflow.operators.filters import drop_incomplete, valid_stations
 from dockflow.operators.lags import smooth
-from dockflow.operators.models import fit_flow
+from dockflow.operators.models import fit_flow, mark_tail
 from dockflow.operators.weather import join_weather_auto
 from dockflow.plans.incremental import FlowStore
 from dockflow.plans.pipeline import FeaturePipeline, PipelineConfig
@@ -67,11 +67,12 @@ def flow_store(spark: SparkSession, root: str, **options) -> FlowStore:
 
 def retrain(
     flow: DataFrame, path: str, config: PipelineConfig | None = None, kind: str = "trees",
-    wl: float = 5.0, wh: float = 5.0, **params,
+    wl: float = 5.0, wh: float = 5.0, holdout: float = 0.3, **params,
 ) -> tuple[FeaturePipeline, PipelineModel]:
     """Smooth, fit the feature pipeline and the weighted model, and save them with the stations.
 
-    The transformed rows are stored once, because the trees read them every iteration.
+    The transformed rows are stored once, because the trees read them every iteration. The newest ``holdout`` of them aren't fitted on: trees
+    stop by their error there.
     """
     config = config or PipelineConfig()
     smoothed = smooth(flow, config.smooth_window)
@@ -89,7 +90,8 @@ def retrain(
     rows = rush_weights(
         load_table(flow.sparkSession, f"{path}/features"), F.lit(pipeline.low), F.lit(pipeline.high), wl, wh
     )
-    model = fit_flow(rows, pipeline.feature_columns, kind, **params)
+    rows, validation = mark_tail(rows, holdout)
+    model = fit_flow(rows, pipeline.feature_columns, kind, validation_col=validation, **params)
     model.write().overwrite().save(f"{path}/model")
     return pipeline, model
 

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.operators import clusters, filters, lags, models
-from dockflow.plans import jobs
+from dockflow.plans import jobs, training
 from dockflow.plans.pipeline import FeaturePipeline, PipelineConfig
-from dockflow.registry.base import FLOW, FLOW_VALUES, calendars, flow, query, rounded, scored, status, stored, weather
+from dockflow.registry.base import FLOW, FLOW_VALUES, SCORED, calendars, flow, query, rounded, s4, scored, status, stored, weather
 from dockflow.registry.features import shifted_forecast
 from dockflow.session import scratch_path
 from dockflow.sources.tables import load_table
@@ -99,6 +99,28 @@ def _(spark, sf):
     )
 
 
+@query("j14_grid_job", f"""WITH {SCORED}, split AS (SELECT *, datehour >= TIMESTAMP '2024-01-28' AS is_test FROM scored),
+hours AS (SELECT datehour, sum(count(*)) OVER (ORDER BY datehour DESC) AS tail, sum(count(*)) OVER () AS total FROM split WHERE NOT is_test GROUP BY 1),
+held AS (SELECT count(*) AS n FROM split WHERE NOT is_test AND datehour >= (SELECT min(datehour) FROM hours WHERE tail <= 0.3 * total)),
+params(kind, wh, wl) AS (VALUES ('linear', '1', '1'), ('linear', '5', '5'), ('trees', '1', '1'), ('trees', '5', '5'))
+SELECT kind, wl, wh, 'FINISHED' AS status, CAST(count(*) AS BIGINT) AS n_test, (SELECT CAST(n AS BIGINT) FROM held) AS n_validation,
+{s4("sqrt(avg(delta * delta))")} AS zero_rmse, {s4("sqrt(avg((delta - delta_pred) * (delta - delta_pred)))")} AS season_rmse, true AS beats_zero
+FROM split, params WHERE is_test GROUP BY kind, wl, wh""")
+def _(spark, sf):
+    """Ledger of a grid job on the rows before the split, scored after it."""
+    rows = scored(spark, sf).withColumnRenamed("delta_pred", "season").drop("delta_test")
+    _, train, test = filters.time_split(rows, split=date(2024, 1, 28))
+    spec = spark.createDataFrame([(["linear", "trees"], ["1", "5"], ["@wl"], ["5"])], "kind array<string>, wl array<string>, wh array<string>, maxIter array<string>")
+    grid = models.param_grid(spec, ["kind", "wl", "wh", "maxIter"])
+    features = [c if c != "delta_pred" else "season" for c in MODEL_FEATURES]
+    runs = training.run_grid(spark, scratch_path(spark, "grid"), "grid", grid, train, test, features, baselines={"season": "season"})
+    m = lambda name: F.try_element_at("metrics", F.lit(name))
+    return runs.select(
+        "params.kind", "params.wl", "params.wh", "status", m("n_test").cast("long").alias("n_test"), m("n_validation").cast("long").alias("n_validation"),
+        F.round(m("zero_rmse"), 4).alias("zero_rmse"), F.round(m("season_rmse"), 4).alias("season_rmse"), (m("rmse") < m("zero_rmse")).alias("beats_zero"),
+    )
+
+
 @query("j17_fit_transform_features")
 def _(spark, sf):
     _, train, test = filters.time_split(lags.smooth(flow(spark, sf)), split=SPLIT)
