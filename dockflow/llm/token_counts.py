@@ -7,9 +7,11 @@ A transducer state is that list: (characters since, last token there, tokens the
 and is annotated with the change of the count. States and transitions are compiled when first met and shared by a worker's texts.
 
 No piece has a space sign after another character, so the transducer is back in its start state at each change from non-space to space.
-The state map of a chunk of text therefore is (head, count, tail): the head up to the first reset depends on the state that comes in, the
-count between the resets doesn't, the tail is the state that goes out. Maps compose associatively; texts beyond ``CHUNK`` characters are
-cut into chunk rows that any task may count, and a prefix scan by doubling composes the maps of a text.
+Texts beyond ``CHUNK`` characters are cut into chunk rows that any task may count. The state map of a stretch is (entry, tokens of the head,
+tokens after it, exit): the head up to the first reset depends on the state that comes in, everything behind it doesn't. A chunk's map is made
+for the entry state that the ``CONTEXT`` characters before it lead to; where the stretch on its left ends in another state, its head is run
+again from there, so the guess decides only the time. Maps compose associatively, in the rounds of a prefix scan's up-sweep, as only the map
+of the whole text is wanted: a text without any space costs linear memory.
 
 A null or empty text has 0 bytes and 0 tokens; repeated rows each get their row; an empty table gives an empty result; other columns
 aren't read. Characters outside the vocabulary count as their UTF-8 bytes (byte fallback). The caches of a worker start anew at a bound.
@@ -17,6 +19,7 @@ aren't read. Characters outside the vocabulary count as their UTF-8 bytes (byte
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -29,6 +32,8 @@ from dockflow.llm.common import texts_of
 
 SPACE = "▁"
 CHUNK = 1 << 15
+CONTEXT = 64
+LONG_UNIT = 256
 MAX_UNITS = 400_000
 MAX_TRANSITIONS = 400_000
 LIMIT = 4096
@@ -89,27 +94,46 @@ class Transducer:
         kept = tuple((b + 1, t, c - change) for b, t, c in ends if tail[len(tail) - b - 1:] in self.starts)
         reach = max((b for b, _, _ in kept), default=0)
         new = (tail[len(tail) - reach:], ((0, piece, 0), *kept))
-        if new not in self.number:
-            self.number[new] = len(self.states)
-            self.states.append(new)
-            self.moves.append({})
-        move = self.moves[state][char] = (self.number[new], change)
+        move = self.moves[state][char] = (self._add(new), change)
         self.compiled += 1
         return move
 
-    def count(self, unit: str) -> int:
-        """Tokens of one unit: the sum of the annotations along its path."""
-        if self.compiled > MAX_TRANSITIONS:
-            self._clear()
-        state = total = 0
+    def run(self, text: str, entry: str) -> tuple[str, int]:
+        """State after a text read from ``entry``, and the sum of the annotations along the path."""
+        state, total = self._state(entry), 0
         moves = self.moves
-        for char in unit:
+        for char in text:
             move = moves[state].get(char)
             if move is None:
+                if self.compiled > MAX_TRANSITIONS:
+                    value = self.states[state]
+                    self._clear()
+                    moves, state = self.moves, self._add(value)
                 move = self._compile(state, char)
             state = move[0]
             total += move[1]
-        return total
+        tail, ends = self.states[state]
+        return json.dumps([tail, ends]), total
+
+    def _add(self, value: tuple[str, tuple]) -> int:
+        if value not in self.number:
+            self.number[value] = len(self.states)
+            self.states.append(value)
+            self.moves.append({})
+        return self.number[value]
+
+    def _state(self, written: str) -> int:
+        if written == START:
+            return 0
+        tail, ends = json.loads(written)
+        return self._add((tail, tuple(map(tuple, ends))))
+
+    def count(self, unit: str) -> int:
+        """Tokens of one unit."""
+        return self.run(unit, START)[1]
+
+
+START = json.dumps(["", [[0, None, 0]]])
 
 
 class Units(dict):
@@ -120,6 +144,8 @@ class Units(dict):
         self.transducer = transducer
 
     def __missing__(self, unit: str) -> int:
+        if len(unit) > LONG_UNIT:
+            return self.transducer.count(unit)
         if len(self) > MAX_UNITS:
             self.clear()
         found = self[unit] = self.transducer.count(unit)
@@ -130,8 +156,11 @@ class ChunkMap(NamedTuple):
     """State map of a stretch of text; ``open``: no reset inside, the head is the whole stretch."""
 
     head: str
-    count: int
-    tail: str
+    entry: str
+    inner: int  # tokens of the head, read from the entry state
+    count: int  # tokens after the head
+    exit: str
+    spaced: bool  # ends in a space sign
     open: bool
 
 
@@ -140,58 +169,71 @@ def compiled(model_path: str) -> Units:
     return Units(Transducer(model_path))
 
 
-def chunk_map(text: str, units: Units) -> ChunkMap:
-    """Map of a chunk whose spaces are space signs already."""
+def units_of(text: str) -> list[str]:
+    """Units of a text whose spaces are space signs already."""
     cells = text.split(SPACE)
-    if "" in cells[1:]:  # runs of spaces: the signs before a unit belong to it
-        joined, lead = [cells[0]], ""
-        for cell in cells[1:]:
-            lead += SPACE
-            if cell:
-                joined.append(lead + cell)
-                lead = ""
-        if lead:
-            joined.append(lead)
-        if not joined[0]:
-            joined = joined[1:]
-    else:
-        joined = [SPACE + c for c in cells[1:]]
-        if cells[0]:
-            joined.insert(0, cells[0])
-    if len(joined) < 2:
-        return ChunkMap(joined[0] if joined else "", 0, "", True)
-    return ChunkMap(joined[0], sum(map(units.__getitem__, joined[1:-1])), joined[-1], False)
+    if "" not in cells[1:]:
+        return [*cells[:1 if cells[0] else 0], *(SPACE + c for c in cells[1:])]
+    joined, lead = [cells[0]], ""  # runs of spaces: the signs before a unit belong to it
+    for cell in cells[1:]:
+        lead += SPACE
+        if cell:
+            joined.append(lead + cell)
+            lead = ""
+    if lead:
+        joined.append(lead)
+    return joined if joined[0] else joined[1:]
+
+
+def entry_state(before: str, text: str, units: Units) -> str:
+    """The state that the characters before a chunk lead to, as far as they tell."""
+    if not before or before[-1] != SPACE and text[:1] == SPACE:
+        return START
+    return units.transducer.run(units_of(before)[-1], START)[0]
+
+
+def chunk_map(text: str, units: Units, entry: str = START) -> ChunkMap:
+    cells = units_of(text) or [""]
+    state, inner = units.transducer.run(cells[0], entry)
+    if len(cells) < 2:
+        return ChunkMap(cells[0], entry, inner, 0, state, text[-1:] == SPACE, True)
+    state, last = units.transducer.run(cells[-1], START)
+    return ChunkMap(cells[0], entry, inner, sum(map(units.__getitem__, cells[1:-1])) + last, state, text[-1:] == SPACE, False)
 
 
 def compose(a: ChunkMap, b: ChunkMap, units: Units) -> ChunkMap:
-    """The map of two neighbouring stretches."""
-    left, right = (a.head if a.open else a.tail), b.head
-    if not left or not right:
-        reset = False
-    else:
-        reset = left[-1] != SPACE and right[0] == SPACE
-    if a.open and b.open:
-        return ChunkMap(left, 0, right, False) if reset else ChunkMap(left + right, 0, "", True)
-    if a.open:
-        return ChunkMap(left, b.count + units[right], b.tail, False) if reset else ChunkMap(left + right, b.count, b.tail, False)
-    if b.open:
-        return ChunkMap(a.head, a.count + units[left], right, False) if reset else ChunkMap(a.head, a.count, left + right, False)
-    middle = units[left] + units[right] if reset else units[left + right]
-    return ChunkMap(a.head, a.count + middle + b.count, b.tail, False)
-
-
-def prefix_scan(maps: list[ChunkMap], join: Callable[[ChunkMap, ChunkMap], ChunkMap]) -> list[ChunkMap]:
-    """Maps of all prefixes by doubling: log2(n) rounds of independent compositions."""
-    step = 1
-    while step < len(maps):
-        maps = [join(maps[k - step], m) if k >= step else m for k, m in enumerate(maps)]
-        step *= 2
-    return maps
+    """The map of two neighbouring stretches, for the entry state of the left one."""
+    if not b.head:
+        return a
+    if not a.head:
+        return b if a.entry == b.entry else compose_from(a.entry, b, units)
+    reset = not a.spaced and b.head[0] == SPACE
+    b = compose_from(START if reset else a.exit, b, units)
+    if a.open and not reset:
+        return ChunkMap(a.head + b.head, a.entry, a.inner + b.inner, b.count, b.exit, b.spaced, b.open)
+    return ChunkMap(a.head, a.entry, a.inner, a.count + b.inner + b.count, b.exit, b.spaced, False)
+
+
+def compose_from(entry: str, m: ChunkMap, units: Units) -> ChunkMap:
+    """A stretch's map for another entry state: its head is run again."""
+    if m.entry == entry:
+        return m
+    state, inner = units.transducer.run(m.head, entry)
+    return m._replace(entry=entry, inner=inner, exit=state if m.open else m.exit)
+
+
+def scan_total(maps: list[ChunkMap], join: Callable[[ChunkMap, ChunkMap], ChunkMap]) -> ChunkMap:
+    """The last prefix of a scan: log2(n) rounds of independent compositions of neighbours."""
+    while len(maps) > 1:
+        pairs = [join(a, b) for a, b in zip(maps[::2], maps[1::2])]
+        maps = pairs + maps[len(maps) & ~1:]
+    return maps[0]
 
 
 def total(m: ChunkMap, units: Units) -> int:
     """Tokens of a whole text, from its start state."""
-    return (units[m.head] if m.head else 0) + m.count + (units[m.tail] if m.tail else 0)
+    m = compose_from(START, m, units)
+    return m.inner + m.count
 
 
 def prepared(text: str, first: bool) -> str:
@@ -206,31 +248,39 @@ def count_tokens(df: DataFrame, model_path: str, text: str = "text", key: str =
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = compiled(model_path)
         for batch in batches:
-            counts = [total(chunk_map(prepared(t, True), units), units) for t in batch.column("text").to_pylist()]
+            counts = [sum(map(units.__getitem__, units_of(prepared(t, True)))) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = compiled(model_path)
         for batch in batches:
-            maps = [chunk_map(prepared(t, c == 0), units) for c, t in zip(batch.column("chunk").to_pylist(), batch.column("text").to_pylist())]
+            maps = []
+            for c, before, t in zip(*(batch.column(n).to_pylist() for n in ("chunk", "before", "text"))):
+                body = prepared(t, c == 0)
+                maps.append(chunk_map(body, units, entry_state(prepared(before, False), body, units)))
             cols = [batch.column(c) for c in ("row", "doc_id", "n_bytes", "chunk")]
-            yield pa.RecordBatch.from_arrays([*cols, *map(pa.array, zip(*maps))] if maps else [*cols, *(pa.array([], t) for t in (pa.string(), pa.int64(), pa.string(), pa.bool_()))], names=["row", "doc_id", "n_bytes", "chunk", "head", "count", "tail", "open"])
+            lists = [pa.array([m[k] for m in maps], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.bool_()))]
+            yield pa.RecordBatch.from_arrays([*cols, *lists], names=["row", "doc_id", "n_bytes", "chunk", *ChunkMap._fields])
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = compiled(model_path)
         for batch in batches:
             counts = []
             for maps in batch.column("maps").to_pylist():
-                ordered = [ChunkMap(m["head"], m["count"], m["tail"], m["open"]) for m in maps]
-                counts.append(total(prefix_scan(ordered, lambda a, b: compose(a, b, units))[-1], units))
+                ordered = [ChunkMap(*(m[f] for f in ChunkMap._fields)) for m in maps]
+                counts.append(total(scan_total(ordered, lambda a, b: compose(a, b, units)), units))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
     size = F.octet_length("text").cast("long").alias("n_bytes")
     short = rows.where(F.length("text") <= chunk).select("doc_id", size, "text").mapInArrow(whole, "doc_id long, n_bytes long, n_tokens long")
     long = rows.where(F.length("text") > chunk).select(F.monotonically_increasing_id().alias("row"), "doc_id", size, "text")
     at = F.explode(F.sequence(F.lit(0), F.expr(f"cast((length(text) - 1) div {chunk} as int)"))).alias("chunk")
-    cut = long.select("row", "doc_id", "n_bytes", "text", at).select("row", "doc_id", "n_bytes", "chunk", F.expr(f"substring(text, chunk * {chunk} + 1, {chunk})").alias("text"))
-    maps = cut.repartition("row", "chunk").mapInArrow(mapped, "row long, doc_id long, n_bytes long, chunk int, head string, count long, tail string, open boolean")
-    listed = maps.groupBy("row", "doc_id", "n_bytes").agg(F.array_sort(F.collect_list(F.struct("chunk", "head", "count", "tail", "open"))).alias("maps"))
+    cut = long.select("row", "doc_id", "n_bytes", "text", at).select(
+        "row", "doc_id", "n_bytes", "chunk", F.expr(f"substring(text, chunk * {chunk} + 1, {chunk})").alias("text"),
+        F.expr(f"substring(text, greatest(chunk * {chunk} - {CONTEXT}, 0) + 1, least(chunk * {chunk}, {CONTEXT}))").alias("before"),
+    )
+    fields = "head string, entry string, inner long, count long, exit string, spaced boolean, open boolean"
+    maps = cut.repartition("row", "chunk").mapInArrow(mapped, f"row long, doc_id long, n_bytes long, chunk int, {fields}")
+    listed = maps.groupBy("row", "doc_id", "n_bytes").agg(F.array_sort(F.collect_list(F.struct("chunk", *ChunkMap._fields))).alias("maps"))
     counted = listed.select("doc_id", "n_bytes", "maps").mapInArrow(scanned, "doc_id long, n_bytes long, n_tokens long")
     return short.unionByName(counted).withColumn("over_limit", F.col("n_tokens") > limit)

@@ -1,5 +1,6 @@
 import random
 import struct
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -62,6 +63,29 @@ def test_short_strings_are_not_told_from_text(spark):
     assert found.where("size(spans) > 0").count() == 0
 
 
+@pytest.mark.parametrize("kind", ["random", "periodic"])
+def test_a_text_without_spaces_costs_linear_memory(kind):
+    import sentencepiece
+
+    model, units, rng = sentencepiece.SentencePieceProcessor(model_file=PIECES), token_counts.compiled(PIECES), random.Random(5)
+
+    def counted(n):
+        text = "".join(rng.choice("etaoinshrdlu") for _ in range(n)) if kind == "random" else "ab" * (n // 2)
+        maps = []
+        for a in range(0, n, token_counts.CHUNK):
+            body, before = token_counts.prepared(text[a:a + token_counts.CHUNK], a == 0), text[max(0, a - token_counts.CONTEXT):a]
+            maps.append(token_counts.chunk_map(body, units, token_counts.entry_state(before, body, units)))
+        tracemalloc.start()
+        got = token_counts.total(token_counts.scan_total(maps, lambda x, y: token_counts.compose(x, y, units)), units)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return got, len(model.encode(text)), peak
+
+    for n in (200_000, 1_000_000):
+        got, wanted, peak = counted(n)
+        assert got == wanted and peak < 4 * n + 1_000_000
+
+
 def test_tokens(docs, real, nothing):
     import sentencepiece
 
@@ -82,8 +106,11 @@ def test_transducer_on_random_strings():
         whole = token_counts.chunk_map(token_counts.prepared(text, True), units)
         assert token_counts.total(whole, units) == len(model.encode(text)), text
         cut = rng.randint(1, 9)
-        maps = [token_counts.chunk_map(token_counts.prepared(text[a:a + cut], a == 0), units) for a in range(0, max(1, len(text)), cut)]
-        last = token_counts.prefix_scan(maps, lambda a, b: token_counts.compose(a, b, units))[-1]
+        maps = []
+        for a in range(0, max(1, len(text)), cut):
+            body, before = token_counts.prepared(text[a:a + cut], a == 0), token_counts.prepared(text[max(0, a - rng.randint(0, 9)):a], False)
+            maps.append(token_counts.chunk_map(body, units, token_counts.entry_state(before, body, units)))
+        last = token_counts.scan_total(maps, lambda a, b: token_counts.compose(a, b, units))
         assert token_counts.total(last, units) == len(model.encode(text)), (text, cut)
 
 
