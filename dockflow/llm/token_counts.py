@@ -98,9 +98,9 @@ class Transducer:
         self.compiled += 1
         return move
 
-    def run(self, text: str, entry: str) -> tuple[str, int]:
-        """State after a text read from ``entry``, and the sum of the annotations along the path."""
-        state, total = self._state(entry), 0
+    def _walk(self, text: str, state: int) -> tuple[int, int]:
+        """State after a text read from ``state``, and the sum of the annotations along the path."""
+        total = 0
         moves = self.moves
         for char in text:
             move = moves[state].get(char)
@@ -112,8 +112,12 @@ class Transducer:
                 move = self._compile(state, char)
             state = move[0]
             total += move[1]
-        tail, ends = self.states[state]
-        return json.dumps([tail, ends]), total
+        return state, total
+
+    def run(self, text: str, entry: str) -> tuple[str, int]:
+        """``_walk`` between states as other workers can read them."""
+        state, total = self._walk(text, self._state(entry))
+        return json.dumps(self.states[state]), total
 
     def _add(self, value: tuple[str, tuple]) -> int:
         if value not in self.number:
@@ -130,7 +134,7 @@ class Transducer:
 
     def count(self, unit: str) -> int:
         """Tokens of one unit."""
-        return self.run(unit, START)[1]
+        return self._walk(unit, 0)[1]
 
 
 START = json.dumps(["", [[0, None, 0]]])
