@@ -7,14 +7,18 @@ station are then bounded by the calendar and balanced whatever the skew of the r
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dockflow.functions.timefn import ONE_HOUR, arrival_key, hour_floor, hour_index
-from dockflow.session import shuffle_width
+from dockflow.session import scratch_path, shuffle_width
+from dockflow.sources.tables import write_and_read
 
 ATTRIBUTES = ["lat", "lon", "name", "capacity"]
 
@@ -97,22 +101,59 @@ def add_delta(df: DataFrame, value: str = "bikes", target: str = "delta", fill:
     return df.withColumn(target, diff if fill is None else F.coalesce(diff, fill))
 
 
-def add_delta_log(df: DataFrame, value: str = "bikes", target: str = "delta") -> DataFrame:
-    """Difference with the station's previous row in the raw log, null on its first row.
+def add_delta_log(df: DataFrame, value: str = "bikes", target: str = "delta", width: int | None = None, stage=None) -> DataFrame:
+    """Difference with the station's previous row in the raw log by (dt, status_id), null on its first row.
 
-    A hot station's log is cut in hour blocks: rows are differenced inside their block and the
-    first row of a block against the last value of the previous block, carried through a table
-    of one row per station and hour.
+    A segmented scan: the log is cut in ranges of (station, dt, status_id), so that neither a hot station nor a burst of
+    reports within one hour or one instant is one task's work. A task differences its sorted rows batch by batch and keeps one value between
+    batches. As ranges follow the order, only a range's first row can have its previous one elsewhere: in the nearest range before it, as that one's last row.
+    Range ends, two small rows a range, are stored with the rows, since the cuts have to be the same for both even when tasks
+    are run again; ``stage`` says how (default: a table below the shared folder). Rows without a time come first, rows without a station form a group of their own.
     """
-    order = F.struct("dt", "status_id")
-    blocks = df.withColumn("_block", hour_floor(F.col("dt")))
-    last = blocks.groupBy("station", "_block").agg(F.max_by(value, order).alias("_last"))
-    carry = last.withColumn("_carry", F.lag("_last").over(by_hour(order="_block"))).drop("_last")
-    inner = W.partitionBy("station", "_block").orderBy("dt", "status_id")
-    prev = F.when(F.row_number().over(inner) == 1, F.col("_carry")).otherwise(F.lag(value).over(inner))
-    joined = blocks.join(carry, ["station", "_block"])
-    out = joined.withColumn(target, F.col(value) - prev)
-    return out.select(*[c for c in df.columns if c != target], target)
+    spark = df.sparkSession
+    stage = stage or (lambda out: write_and_read(out, scratch_path(spark, "ranges")))
+    columns = [c for c in df.columns if c != target]
+    keys = ["station", "dt", "status_id"]
+    ranged = df.select(*columns, F.col(value).alias("_value")).repartitionByRange(width or shuffle_width(spark), *keys).sortWithinPartitions(*keys)
+    typed = ranged.withColumns({"_part": F.spark_partition_id(), "_prev": F.lit(None).cast(df.schema[value].dataType), "_head": F.lit(False), "_last": F.lit(False)})
+    stored = stage(typed.mapInArrow(_segment, typed.schema))
+    ends = stored.filter("_head or _last").select("_part", "station", "_value", "_head", "_last")
+    # Of every range its first and its last row: the row before a first row, in the order of ranges, is the last one of the range before it.
+    before = W.orderBy("_part", F.col("_last"))
+    carried = ends.withColumns({"_carry": F.lag("_value").over(before), "_same": F.lag("station").over(before).eqNullSafe(F.col("station"))})
+    known = carried.filter("_head and not _last and _same").select("_part", "_carry", F.lit(True).alias("_head"))
+    joined = stored.filter("not _last").join(F.broadcast(known), ["_part", "_head"], "left")
+    prev = F.when(F.col("_head"), F.col("_carry")).otherwise(F.col("_prev"))
+    return joined.withColumn(target, F.col(value) - prev).select(*columns, target)
+
+
+def _segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Previous value of every sorted row of a range, its first row marked, and a copy of its last row marked as such."""
+    last = None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        station, number = batch["station"], batch["_value"]
+        head = last is None
+        ahead = [a.slice(0, n - 1) if head else pa.concat_arrays([last[c], a.slice(0, n - 1)]) for c, a in (("station", station), ("_value", number))]
+        if head:
+            ahead = [pa.concat_arrays([pa.nulls(1, a.type), a]) for a in ahead]
+        both_null = pc.and_(pc.is_null(ahead[0]), pc.is_null(station))
+        same = pc.or_(pc.fill_null(pc.equal(ahead[0], station), False), both_null)
+        if head:
+            same = pa.concat_arrays([pa.array([False]), same.slice(1)])
+        out = {"_prev": pc.if_else(same, ahead[1], pa.nulls(n, number.type))}
+        if head:
+            out["_head"] = pa.array([True] + [False] * (n - 1))
+        yield _with_columns(batch, out)
+        last = batch.slice(n - 1)
+    if last is not None:
+        yield _with_columns(last, {"_last": pa.array([True])})
+
+
+def _with_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([columns.get(name, batch[name]) for name in batch.schema.names], schema=batch.schema)
 
 
 def reduce_log(status: DataFrame) -> DataFrame:

@@ -2,9 +2,12 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dockflow.operators import dedup, grid, outliers
+from dockflow.session import scratch_path
+from dockflow.sources.tables import write_and_read
 from tests.helpers import START
 
 SCHEMA = "status_id bigint, station string, bikes int, capacity int, lat double, lon double, name string, dt timestamp_ntz"
@@ -46,6 +49,39 @@ def test_delta_on_the_raw_log_crosses_blocks_and_ties(spark):
     assert all((got[k] is None) == np.isnan(v) and (got[k] is None or got[k] == v) for k, v in want.items())
 
 
+def test_delta_of_a_burst_is_spread_over_ranges(spark):
+    """A million reports of one station in one instant, between few others: no range holds a large part of them."""
+    burst = spark.range(1_000_000).select(
+        F.col("id").alias("status_id"), F.lit("hot").alias("station"), F.xxhash64("id").alias("bikes"), F.lit(START).cast("timestamp_ntz").alias("dt"))
+    burst = burst.withColumn("bikes", F.pmod("bikes", F.lit(30)).cast("int"))
+    edges = spark.createDataFrame(
+        [(-1, "hot", 3, START - dt.timedelta(days=1)), (-2, "a", 4, START), (2_000_000, "z", 5, START), (2_000_001, "z", 9, START + dt.timedelta(days=9)),
+         (2_000_002, None, 1, START), (2_000_003, None, 7, START), (2_000_004, "z", None, None)], "status_id bigint, station string, bikes int, dt timestamp_ntz")
+    log_rows = burst.unionByName(edges)
+    sizes = []
+
+    def stage(out):
+        stored = write_and_read(out, scratch_path(spark, "burst"))
+        sizes.extend(r["count"] for r in stored.filter("not _last").groupBy("_part").count().collect())
+        return stored
+
+    got = grid.add_delta_log(log_rows, width=16, stage=stage)
+    assert sum(sizes) == 1_000_007 and len(sizes) > 12 and max(sizes) < 150_000
+    w = W.partitionBy("station").orderBy("dt", "status_id")
+    want = log_rows.withColumn("delta", F.col("bikes") - F.lag("bikes").over(w))
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_delta_of_empty_logs_and_more_ranges_than_rows(spark):
+    rows, df = log(spark, 5, 1)
+    assert grid.add_delta_log(df.filter("false")).collect() == []
+    w = W.partitionBy("station").orderBy("dt", "status_id")
+    want = df.withColumn("delta", F.col("bikes") - F.lag("bikes").over(w))
+    for width in (1, 3, 40):
+        assert sorted(map(str, grid.add_delta_log(df, width=width).collect())) == sorted(map(str, want.collect()))
+
+
 def test_latest_attributes_and_capacity(spark):
     rows, df = log(spark, 500, 2)
     pdf = pandas_log(rows).sort_values(["dt", "status_id"])
