@@ -1,8 +1,11 @@
 import itertools
 import json
+import uuid
 
 import numpy as np
 import pytest
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from dockflow.operators import clusters, filters, models
@@ -58,6 +61,64 @@ def test_small_and_collinear_clusters(spark):
     assert set(got[3]) == {(0.0, 0.0), (2.0, 2.0)} and len(got[4]) == 3
 
 
+def blobs(spark, n=600, groups=9, seed=1):
+    rng = np.random.default_rng(seed)
+    at = rng.uniform(0, 9000, (groups, 4)) * [1, 1, 1e-3, 1e-3]
+    x = at[rng.integers(0, groups, n)] + rng.normal(0, 300, (n, 4)) * [1, 1, 1e-3, 1e-3]
+    schema = "station string, " + ", ".join(f"{c} double" for c in clusters.FEATURES)
+    return x, spark.createDataFrame([(f"s{i}", *map(float, r)) for i, r in enumerate(x)], schema).repartition(5)
+
+
+def test_batched_kmeans_equals_single_fits_from_the_same_seeds(spark):
+    x, points = blobs(spark)
+    ks = [2, 5, 9, 14]
+    start = clusters.seeds(points, clusters.FEATURES, max(ks))
+    assert len(start) == max(ks) and len(np.unique(start, axis=0)) == max(ks)
+    got = clusters.batched_kmeans(points, clusters.FEATURES, {k: start[:k] for k in ks})
+    scores = clusters.silhouettes(points, clusters.FEATURES, got)
+    for k in ks:
+        c = start[:k].copy()
+        for _ in range(clusters.MAX_ITERATIONS):
+            label = ((x[:, None] - c) ** 2).sum(2).argmin(1)
+            new = np.array([x[label == j].mean(0) if (label == j).any() else c[j] for j in range(k)])
+            still = ((new - c) ** 2).sum(1).max() <= clusters.TOLERANCE**2
+            c = new
+            if still:
+                break
+        assert np.allclose(got[k], c, rtol=0, atol=1e-6)
+        label = ((x[:, None] - c) ** 2).sum(2).argmin(1)
+        frame = spark.createDataFrame([(Vectors.dense(r), int(j)) for r, j in zip(x, label)], ["features", "prediction"])
+        assert scores[k] == pytest.approx(ClusteringEvaluator().evaluate(frame), abs=1e-9)
+
+
+def jobs_of(spark, run):
+    group = f"jobs-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_jobs_do_not_grow_with_the_candidates(spark):
+    _, points = blobs(spark)
+    start = clusters.seeds(points, clusters.FEATURES, 40)
+    def run(ks):
+        centres = clusters.batched_kmeans(points, clusters.FEATURES, {k: start[:k] for k in ks}, iterations=3)
+        clusters.silhouettes(points, clusters.FEATURES, centres)
+    assert jobs_of(spark, lambda: run(range(38, 41))) == jobs_of(spark, lambda: run(range(10, 41))) > 0
+
+
+def test_kmeans_of_few_equal_or_no_stations(spark):
+    schema = "station string, " + ", ".join(f"{c} double" for c in clusters.FEATURES)
+    same = spark.createDataFrame([(str(i), 1.0, 2.0, 3.0, 4.0) for i in range(5)], schema)
+    assert [(r.k, r.score) for r in clusters.silhouette_sweep(same, [2, 3, 9]).collect()] == [(2, None), (3, None), (9, None)]
+    assert [r.score for r in clusters.silhouette_sweep(same.filter("false"), [2, 3]).collect()] == [None, None]
+    two = same.unionByName(spark.createDataFrame([("z", 1.0, 2.0, 3.0, 5.0)], schema))
+    assert {r.k: r.score for r in clusters.silhouette_sweep(two, [2]).collect()}[2] == pytest.approx(5 / 6)
+
+
 def test_every_station_gets_one_cluster(spark, sf):
     labels = reg.labels(spark, sf).collect()
     assert len({r.station for r in labels}) == len(labels) == 15
