@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.operators.ranking import exact_quantiles, ks_stat
+from dockflow.operators.ranking import exact_quantiles, ks_of_counts, ks_stat
 
 # Profiled columns.
 PROFILE_VALUES = ["delta", "temp", "precip", "vent"]
@@ -70,3 +70,22 @@ def profile_report(df: DataFrame, days: int = 30, values: list[str] | None = Non
         F.lit(name).alias("selection"), F.lit("kstest").alias("category"), "metric", F.col("ks").alias("value")
     )
     return profile(df, values).unionByName(profile(recent, values, name)).unionByName(ks)
+
+
+def drift_history(series: DataFrame, hours: int = 24) -> DataFrame:
+    """Statistics rows as hourly refreshes would have stored them: (refreshed, selection, category, metric, value).
+
+    For every hour up to the newest one, the K-S statistic of a metric's samples in the ``hours`` hours that end there against as many hours
+    before. ``series`` holds (datehour, metric, value), one sample per hour: each serves 2 x ``hours`` refreshes. A refresh without samples in
+    one of the periods has no row.
+    """
+    newest = series.agg(F.max("datehour")).scalar()
+    later = F.explode(F.sequence(F.lit(0), F.lit(2 * hours - 1)))
+    seen = series.withColumn("_later", later).withColumn("_at", F.col("datehour") + F.make_dt_interval(F.lit(0), F.col("_later"))).filter(F.col("_at") <= newest)
+    name = F.concat_ws("|", F.date_format("_at", "'h'yyyyMMddHH"), F.col("metric"))
+    recent = (F.col("_later") < hours).cast("int")
+    ks = ks_of_counts(seen.select(name.alias("metric"), F.col("value").cast("double").alias("value"), recent.alias("n_a"), (1 - recent).alias("n_b")))
+    return ks.filter("ks is not null").select(
+        F.substring_index("metric", "|", 1).alias("refreshed"), F.lit(f"{hours}h").alias("selection"), F.lit("kstest").alias("category"),
+        F.expr("substring(metric, locate('|', metric) + 1)").alias("metric"), F.col("ks").alias("value"),
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,18 +32,11 @@ def minmax_apply(df: DataFrame, bounds: DataFrame | Row, cols: list[str]) -> Dat
     return df.withColumns({c: scaled(c) for c in cols})
 
 
-def onehot_fit(df: DataFrame, cols: list[str], max_columns: int = 10_000) -> list[tuple[str, str]]:
-    """Sorted (column, value) vocabulary.
-
-    Every entry becomes an output column; a vocabulary too wide for a table is refused before it
-    reaches the driver (``index_fit`` serves such columns).
-    """
+def onehot_fit(df: DataFrame, cols: list[str]) -> list[tuple[str, str]]:
+    """Sorted (column, value) vocabulary. Every entry becomes an output column of the plan; columns with many values take ``onehot_vectors``."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols]))
     values = df.select(pairs.alias("p")).select("p.c", "p.v").filter("v is not null").distinct()
-    rows = values.take(max_columns + 1)
-    if len(rows) > max_columns:
-        raise ValueError(f"more than {max_columns} values in {', '.join(cols)}: use index_fit")
-    return sorted((r.c, r.v) for r in rows)
+    return sorted((r.c, r.v) for r in values.collect())
 
 
 def onehot_apply(df: DataFrame, vocabulary: list[tuple[str, str]]) -> DataFrame:
@@ -65,6 +59,22 @@ def index_apply(df: DataFrame, dictionary: DataFrame, col: str) -> DataFrame:
     return out.withColumn(f"{col}_index", F.coalesce(f"{col}_index", F.lit(-1)))
 
 
+def onehot_vectors(df: DataFrame, dictionaries: dict[str, DataFrame]) -> DataFrame:
+    """One sparse vector ``<column>_onehot`` per column, of any width, by its dictionary of ``index_fit``; unseen and null values are all zeros.
+
+    A row carries the one entry it has. The vectors are made once per dictionary entry and joined, without names of their entries: neither
+    the plan nor the driver grows with the vocabulary.
+    """
+    out = df
+    for c, dictionary in dictionaries.items():
+        size = dictionary.count()
+        vector = F.udf(lambda i, size=size: SparseVector(size, [i], [1.0]) if i >= 0 else SparseVector(size, [], []), VectorUDT())
+        none = df.sparkSession.range(1).select(vector(F.lit(-1)).alias("v")).scalar()
+        vectors = dictionary.select(c, vector(f"{c}_index").alias("_vector"))
+        out = out.join(vectors, c, "left").withColumn(f"{c}_onehot", F.coalesce("_vector", none)).drop("_vector")
+    return out
+
+
 def geo_features(df: DataFrame) -> DataFrame:
     """Position in metres from the south-west corner, scaled to [0, 1]."""
     metres = to_metres(df)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dockflow.functions.numeric import cyclic, to_metres
 from dockflow.operators.clusters import CLUSTER_RANGE, REGION_RANGE, cluster_stations, join_clusters
-from dockflow.operators.features import minmax_apply, minmax_fit, onehot_apply, onehot_fit
+from dockflow.operators.features import index_fit, minmax_apply, minmax_fit, onehot_apply, onehot_fit, onehot_vectors
 from dockflow.operators.filters import float_features, observed_only
 from dockflow.operators.lags import HISTORY_DAYS, LAG_COLUMNS, PEAK_MEANS, join_lags, lag_history
 from dockflow.operators.lookup import load_by_station, save_by_station
@@ -42,6 +42,7 @@ class PipelineConfig:
     leak_free: bool = True
     cluster_ks: list[int] = field(default_factory=lambda: list(CLUSTER_RANGE))
     region_ks: list[int] = field(default_factory=lambda: list(REGION_RANGE))
+    hotvectors: list[str] = field(default_factory=list)
 
     @property
     def lag_columns(self) -> list[str]:
@@ -60,6 +61,7 @@ class FeaturePipeline:
     lag_bounds: dict = field(default_factory=dict)
     lag_means: dict = field(default_factory=dict)
     vocabulary: list = field(default_factory=list)
+    dictionaries: dict[str, DataFrame] = field(default_factory=dict)
     low: float | None = None
     high: float | None = None
 
@@ -87,6 +89,8 @@ class FeaturePipeline:
         out.bounds.update(minmax_fit(scaled, config.scale).first().asDict())
         if config.hotencode:
             out.vocabulary = onehot_fit(keyed, config.hotencode)
+        for c in config.hotvectors:
+            out.dictionaries[c] = write_and_read(index_fit(keyed, c), scratch_path(spark, "dictionary"))
         m = margins(df, config.target).first()
         out.low, out.high = m["low"], m["high"]
         return out
@@ -100,10 +104,14 @@ class FeaturePipeline:
         time = [f"{f}_{n}" for f in ("sin", "cos") for n in c.encode_time]
         hot = [f"{a}_{b}" for a, b in self.vocabulary]
         marker = ["reconstructed"] if c.reconstructed else []
-        return [*c.scale, *c.nonscale, *c.lag_columns, *time, *hot, *marker]
+        return [*c.scale, *c.nonscale, *c.lag_columns, *time, *hot, *self.vector_columns, *marker]
+
+    @property
+    def vector_columns(self) -> list[str]:
+        return [f"{c}_onehot" for c in self.config.hotvectors]
 
     def transform(self, df: DataFrame, fitting: bool = False) -> DataFrame:
-        """Station, hour, every feature as a double without nulls, and the target if present.
+        """Station, hour, every feature as a double without nulls (columns of ``hotvectors`` as sparse vectors), and the target if present.
 
         A lag that isn't known yet takes its mean over the history; rows to fit on (``fitting``) are dropped instead, as a model would learn
         from guesses. A lag that no row of the history has, as it is too short for it, is 0 everywhere.
@@ -123,11 +131,12 @@ class FeaturePipeline:
             out = cyclic(out, list(c.encode_time), list(c.encode_time.values()))
         if self.vocabulary:
             out = onehot_apply(out, self.vocabulary)
+        out = onehot_vectors(out, self.dictionaries)
         if c.geoencode:
             out = to_metres(out, origin=self._corner())
         out = minmax_apply(out, self.bounds, c.scale)
         target = [c.target] if c.target in df.columns else []
-        return float_features(out.select("station", "datehour", *self.feature_columns, *target), keep=(c.target,))
+        return float_features(out.select("station", "datehour", *self.feature_columns, *target), keep=(c.target, *self.vector_columns))
 
     def save(self, path: str) -> None:
         """Tables, with the lag history cut to its last 57 days, and one JSON row of parameters."""
@@ -135,6 +144,8 @@ class FeaturePipeline:
             save_table(self.clusters, f"{path}/clusters")
         if self.history is not None:
             save_by_station(last_days(self.history, HISTORY_DAYS, strict=True), f"{path}/history")
+        for c, dictionary in self.dictionaries.items():
+            save_table(dictionary, f"{path}/onehot/{c}")
         state = {k: getattr(self, k) for k in ("bounds", "lag_bounds", "lag_means", "vocabulary", "low", "high")}
         text = json.dumps({"config": asdict(self.config), **state})
         spark = SparkSession.active()
@@ -150,4 +161,5 @@ class FeaturePipeline:
             out.clusters = load_table(spark, f"{path}/clusters")
         if config.lag_columns:
             out.history = load_by_station(spark, f"{path}/history")
+        out.dictionaries = {c: load_table(spark, f"{path}/onehot/{c}") for c in config.hotvectors}
         return out

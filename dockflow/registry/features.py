@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import unwrap_udt
 
 from dockflow.operators import dedup, features, lags, scores
 from dockflow.operators import models as model_ops
@@ -281,6 +282,18 @@ def _(spark, sf):
     return features.onehot_apply(ev, vocabulary).drop("event_type")
 
 
+@query("j02_onehot_vectors", """SELECT event_id, CAST(user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase') AS INTEGER) AS n_set,
+CAST((SELECT count(DISTINCT user_id) FROM events WHERE event_type = 'purchase') AS INTEGER) AS width,
+CASE WHEN user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase')
+THEN (SELECT CAST(count(DISTINCT user_id) AS INTEGER) FROM events b WHERE event_type = 'purchase' AND b.user_id < e.user_id) END AS place FROM events e""")
+def _(spark, sf):
+    """Sparse vectors of a dictionary of all users with a purchase, shown by width and place of the one entry."""
+    ev = table(spark, sf, "events")
+    out = features.onehot_vectors(ev.select("event_id", "user_id"), {"user_id": features.index_fit(ev.filter("event_type = 'purchase'"), "user_id")})
+    v = unwrap_udt("user_id_onehot")
+    return out.select("event_id", F.size(v["indices"]).alias("n_set"), v["size"].alias("width"), F.get(v["indices"], F.lit(0)).alias("place"))
+
+
 @query("j03_geo_features", f"""WITH {HOURLY}, m AS (SELECT station, (lat - (SELECT min(lat) FROM dim)) * 111000 AS y, (lon - (SELECT min(lon) FROM dim)) * 72987 AS x FROM dim)
 SELECT station, {s6('(y - (SELECT min(y) FROM m)) / (SELECT max(y) - min(y) FROM m)')} AS lat, {s6('(x - (SELECT min(x) FROM m)) / (SELECT max(x) - min(x) FROM m)')} AS lon FROM m""")
 def _(spark, sf):
@@ -369,6 +382,14 @@ def _(spark, sf):
     return features.rebalance(flow(spark, sf), rush, ["station", "datehour"], 3.0, 2).select("station", "datehour", "delta", "copy")
 
 
+@query("j15_rebalance_rush", f"""WITH {FLOW} {MARGINS.format(col='delta', src='flow')} SELECT station, datehour, delta, CAST(unnest([1, 2]) AS INTEGER) AS copy FROM flow, edge WHERE delta < low OR delta > high""")
+def _(spark, sf):
+    """The rush rows of the rebalanced flow, each of them twice."""
+    low, high = flow_margins(spark, sf)
+    rush = scores.is_peak(low, high, "delta")
+    return features.rebalance(flow(spark, sf), rush, ["station", "datehour"], 3.0, 2).filter(rush).select("station", "datehour", "delta", "copy")
+
+
 @query("j16_day_matrix", f"""WITH {FLOW} SELECT station, date, list([delta, temp] ORDER BY hour) AS matrix FROM flow GROUP BY 1, 2 HAVING count(*) = 24""")
 def _(spark, sf):
     return lags.day_matrix(flow(spark, sf), ["delta", "temp"])

@@ -69,6 +69,15 @@ def _(spark, sf):
     return clusters.join_clusters(f, labels(spark, sf))
 
 
+@query("d09_join_clusters_of_some", f"""WITH {FLOW} SELECT station, datehour, delta, CASE WHEN CAST(station AS BIGINT) % 5 > 0 THEN CAST(CAST(station AS BIGINT) % 9 AS INTEGER) END AS cluster,
+CASE WHEN CAST(station AS BIGINT) % 5 > 0 THEN CAST(CAST(station AS BIGINT) % 3 AS INTEGER) END AS metacluster FROM flow""")
+def _(spark, sf):
+    """Every row stays; a station without labels has none."""
+    f, n = flow(spark, sf), F.col("station").cast("long")
+    some = f.select("station").distinct().filter(n % 5 > 0).withColumns({"cluster": (n % 9).cast("int"), "metacluster": (n % 3).cast("int")})
+    return clusters.join_clusters(f.select("station", "datehour", "delta"), some)
+
+
 MODEL_FEATURES = ["hour", "weekday", "weekend", "holiday", "temp", "precip", "vent", "bikes", "delta_pred"]
 
 
@@ -162,6 +171,12 @@ def _(spark, sf):
     return load_table(spark, f"{retrained(spark, sf)}/stations")
 
 
+@query("j20_retrain_attributes", f"""WITH {FLOW} SELECT station, max_by(lat, datehour) AS lat, max_by(lon, datehour) AS lon, max_by(name, datehour) AS name,
+max_by(capacity, datehour) AS capacity FROM flow WHERE datehour < TIMESTAMP '{SPLIT}' GROUP BY station""")
+def _(spark, sf):
+    return load_table(spark, f"{retrained(spark, sf)}/stations").drop("cluster", "metacluster")
+
+
 @query("a13_refresh_job", f"WITH {FLOW} SELECT * FROM flow")
 def _(spark, sf):
     """Two refreshes: half of the log, then everything up to now."""

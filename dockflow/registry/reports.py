@@ -13,6 +13,7 @@ from dockflow.registry.base import (
 )
 from dockflow.registry.cleaning import dense
 from dockflow.registry.features import flow_margins
+from dockflow.session import scratch_path
 from dockflow.sources import tables
 
 EDGE = SCORED + MARGINS.format(col="delta", src="flow")
@@ -345,6 +346,22 @@ def _(spark, sf):
     return rounded(out, "avg_ks")
 
 
+@query("l03_shift_alert_stored", f"""WITH {METRICS}, axis AS (SELECT unnest(generate_series(min(datehour), max(datehour), INTERVAL 1 HOUR)) AS t FROM metrics),
+pairs AS (SELECT t, metric, value, m.datehour > t - INTERVAL 24 HOUR AS cur FROM axis JOIN metrics m ON m.datehour <= t AND m.datehour > t - INTERVAL 48 HOUR),
+sized AS (SELECT *, count(*) FILTER (WHERE cur) OVER (PARTITION BY t, metric) AS na, count(*) FILTER (WHERE NOT cur) OVER (PARTITION BY t, metric) AS nb FROM pairs),
+cum AS (SELECT t, metric, count(*) FILTER (WHERE cur) OVER w / CAST(na AS DOUBLE) AS fa, count(*) FILTER (WHERE NOT cur) OVER w / CAST(nb AS DOUBLE) AS fb FROM sized WHERE na > 0 AND nb > 0 WINDOW w AS (PARTITION BY t, metric ORDER BY value)),
+ks AS (SELECT t, metric, round(max(abs(fa - fb)), 6) AS ks FROM cum GROUP BY 1, 2),
+seen AS (SELECT t AS datehour, {s6('avg(ks)')} AS avg_ks, max(ks) AS max_ks FROM ks GROUP BY 1),
+h AS (SELECT a.t AS datehour, avg_ks, max_ks FROM axis a LEFT JOIN seen s ON a.t = s.datehour WHERE a.t >= (SELECT min(datehour) FROM seen))
+{sustained_sql('h', 'avg_ks > 0.2 OR max_ks > 0.3', '', 2)}""")
+def _(spark, sf):
+    """Alert over the statistics of hourly refreshes, stored and read back as the jobs keep them."""
+    path = scratch_path(spark, "stats")
+    tables.write_stats_history(drift.drift_history(metrics(spark, sf)), path)
+    kept = tables.stats_history(spark, path).filter("category = 'kstest'").select("datehour", "metric", r6("value").alias("ks"))
+    return rounded(alerts.shift_alert(kept, 0.2, 0.3, 2), "avg_ks")
+
+
 @query("l04_stale_alert", f"WITH {DENSE_HEALTH} SELECT datehour FROM dh WHERE n_rows = 0")
 def _(spark, sf):
     return alerts.stale_alert(health(spark, sf))

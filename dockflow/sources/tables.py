@@ -145,6 +145,12 @@ def write_stats(stats: DataFrame, path: str, refreshed: str) -> None:
     document.write.mode("overwrite").text(f"{path}/document/refreshed={refreshed}")
 
 
+def write_stats_history(stats: DataFrame, path: str) -> None:
+    """Statistics of many refreshes at once (long rows with their ``refreshed``), each replacing its own part of the table."""
+    placed = stats.repartition("refreshed")
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("refreshed").parquet(f"{path}/long")
+
+
 def stats_history(spark: SparkSession, path: str) -> DataFrame:
     """Statistics of every refresh: datehour (the newest hour it saw) and the long columns."""
     hour = F.substring(F.col("refreshed"), 2, 10)

@@ -114,6 +114,15 @@ def test_scaling_and_onehot_edges(spark):
     assert got == {"a": (1.0, 0.0), "zz": (0.0, 0.0), None: (0.0, 0.0)}
 
 
+def test_onehot_vectors_of_fifty_thousand_values(spark):
+    df = spark.range(50_000).select(F.format_string("v%06d", "id").alias("c"), F.col("id"))
+    more = df.unionByName(spark.createDataFrame([("zz", -1), (None, -2)], "c string, id bigint"))
+    got = {r.id: r.c_onehot for r in features.onehot_vectors(more, {"c": features.index_fit(df, "c")}).collect()}
+    assert len(got) == 50_002 and {v.size for v in got.values()} == {50_000}
+    assert all(list(got[i].indices) == [i] and list(got[i].values) == [1.0] for i in range(50_000))
+    assert list(got[-1].indices) == list(got[-2].indices) == []
+
+
 def test_cyclic_default_period_is_the_distinct_count(spark):
     df = spark.createDataFrame([(i % 4,) for i in range(8)], "x int")
     r = cyclic(df, ["x"]).filter("x = 1").first()

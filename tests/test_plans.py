@@ -3,7 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from dockflow.operators import alerts, dedup, filters, grid
+from dockflow.operators import alerts, dedup, drift, filters, grid
 from dockflow.plans import jobs
 from dockflow.operators.outliers import unstaged
 from dockflow.plans.flow import build_flow
@@ -141,6 +141,20 @@ def test_stored_statistics_feed_the_shift_alert(spark, tmp_path):
     assert len(fired) == 4 and fired[0].max_ks == 0.05
 
 
+def test_hourly_drift_history_fires_over_stored_refreshes(spark, tmp_path):
+    hours = spark.range(24 * 5).select((F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), "id")).alias("datehour"), "id")
+    series = hours.select("datehour", F.lit("n_rows").alias("metric"), (F.col("id") % 24 + F.when(F.col("id") >= 72, 100).otherwise(0)).alias("value"))
+    stats = drift.drift_history(series)
+    for _ in range(2):  # a repeated write replaces its own parts
+        tables.write_stats_history(stats, str(tmp_path))
+    history = tables.stats_history(spark, str(tmp_path))
+    assert history.select("datehour").distinct().count() == history.count() == 96
+    rows = alerts.shift_alert(history.select("datehour", "metric", F.col("value").alias("ks"))).collect()
+    at = {(r.datehour.day - 1) * 24 + r.datehour.hour: r for r in rows}
+    assert at[71].max_ks == 0 and at[95].max_ks == 1 and at[119].max_ks == 0
+    assert [h for h, r in at.items() if r.firing and h >= 48] and all(74 <= h < 120 for h, r in at.items() if r.firing and h >= 48)
+
+
 def test_rows_without_time_or_station_leave_the_flow_unique(spark):
     import datetime as dt
 
