@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
+from pyspark.sql.functions import unwrap_udt
 
 from dockflow.operators import clusters, filters, models
 from dockflow.plans import jobs
@@ -209,3 +210,18 @@ def test_stored_model_and_recent_slice_predict(spark, sf, tmp_path):
     pipeline, model, dim = jobs.load_model(spark, path)
     want = jobs.predict(wanted, hours, pipeline, model, dim, flow, shifted_forecast(spark, sf), cal)
     assert sorted(got.collect()) == sorted(want.collect()) and got.count() > 0
+
+
+def test_vectors_of_a_wide_column_survive_saving_and_feed_the_fit(spark, sf, tmp_path):
+    flow = base.flow(spark, sf).filter("datehour >= timestamp_ntz'2024-01-20'")
+    config = PipelineConfig(clusterize=False, hotencode=[], hotvectors=["name"], lagged_value=False, lagged_value_3hours_mean=False, mean_value=False, mean_peaks=False)
+    pipeline = FeaturePipeline.fit(flow, config)
+    pipeline.save(str(tmp_path))
+    loaded = FeaturePipeline.load(spark, str(tmp_path))
+    rows = loaded.transform(flow)
+    assert loaded.feature_columns[-2:] == ["name_onehot", "reconstructed"]
+    names = flow.select("name").distinct().count()
+    got = rows.groupBy("station").agg(F.collect_set(unwrap_udt("name_onehot")["indices"]).alias("at"), F.max(unwrap_udt("name_onehot")["size"]).alias("size")).collect()
+    assert sorted(r["at"][0][0] for r in got) == list(range(names)) and {r["size"] for r in got} == {names}
+    model = models.fit_flow(rows, loaded.feature_columns, "linear", weight_col=None)
+    assert len(model.stages[-1].coefficients) == len(loaded.feature_columns) - 1 + names
