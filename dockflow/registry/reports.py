@@ -350,16 +350,16 @@ def _(spark, sf):
 pairs AS (SELECT t, metric, value, m.datehour > t - INTERVAL 24 HOUR AS cur FROM axis JOIN metrics m ON m.datehour <= t AND m.datehour > t - INTERVAL 48 HOUR),
 sized AS (SELECT *, count(*) FILTER (WHERE cur) OVER (PARTITION BY t, metric) AS na, count(*) FILTER (WHERE NOT cur) OVER (PARTITION BY t, metric) AS nb FROM pairs),
 cum AS (SELECT t, metric, count(*) FILTER (WHERE cur) OVER w / CAST(na AS DOUBLE) AS fa, count(*) FILTER (WHERE NOT cur) OVER w / CAST(nb AS DOUBLE) AS fb FROM sized WHERE na > 0 AND nb > 0 WINDOW w AS (PARTITION BY t, metric ORDER BY value)),
-ks AS (SELECT t, metric, round(max(abs(fa - fb)), 6) AS ks FROM cum GROUP BY 1, 2),
-seen AS (SELECT t AS datehour, {s6('avg(ks)')} AS avg_ks, max(ks) AS max_ks FROM ks GROUP BY 1),
+ks AS (SELECT t, metric, max(abs(fa - fb)) AS ks FROM cum GROUP BY 1, 2),
+seen AS (SELECT t AS datehour, avg(ks) AS avg_ks, max(ks) AS max_ks FROM ks GROUP BY 1),
 h AS (SELECT a.t AS datehour, avg_ks, max_ks FROM axis a LEFT JOIN seen s ON a.t = s.datehour WHERE a.t >= (SELECT min(datehour) FROM seen))
-{sustained_sql('h', 'avg_ks > 0.2 OR max_ks > 0.3', '', 2)}""")
+SELECT datehour, {s6('avg_ks')} AS avg_ks, {s6('max_ks')} AS max_ks, firing FROM ({sustained_sql('h', 'avg_ks > 0.2 OR max_ks > 0.3', '', 2)})""")
 def _(spark, sf):
     """Alert over the statistics of hourly refreshes, stored and read back as the jobs keep them."""
     path = scratch_path(spark, "stats")
     tables.write_stats_history(drift.drift_history(metrics(spark, sf)), path)
-    kept = tables.stats_history(spark, path).filter("category = 'kstest'").select("datehour", "metric", r6("value").alias("ks"))
-    return rounded(alerts.shift_alert(kept, 0.2, 0.3, 2), "avg_ks")
+    kept = tables.stats_history(spark, path).filter("category = 'kstest'").select("datehour", "metric", F.col("value").alias("ks"))
+    return rounded(alerts.shift_alert(kept, 0.2, 0.3, 2), "avg_ks", "max_ks")
 
 
 @query("l04_stale_alert", f"WITH {DENSE_HEALTH} SELECT datehour FROM dh WHERE n_rows = 0")
@@ -367,6 +367,15 @@ def _(spark, sf):
     return alerts.stale_alert(health(spark, sf))
 
 
+@query("l04_stale_alert_purchases", """WITH seen AS (SELECT DISTINCT date_trunc('hour', ts) AS datehour FROM events WHERE event_type = 'purchase'),
+axis AS (SELECT unnest(generate_series(min(datehour), max(datehour), INTERVAL 1 HOUR)) AS datehour FROM seen)
+SELECT datehour FROM axis WHERE datehour NOT IN (SELECT datehour FROM seen)""")
+def _(spark, sf):
+    """Hours without any purchase, the rarer of the reports, where the whole log has none."""
+    bought = table(spark, sf, "events").filter("event_type = 'purchase'").select(F.col("user_id").cast("string").alias("station"), F.col("ts").alias("dt"))
+    return alerts.stale_alert(rep.hourly_health(bought))
+
+
 @query("l05_uptime", f"""WITH {DENSE_HEALTH} SELECT datehour, {s6('avg(CASE WHEN n_rows > 0 THEN 100.0 ELSE 0.0 END) OVER (ORDER BY datehour ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)')} AS uptime FROM dh""")
 def _(spark, sf):
     return rounded(alerts.uptime(health(spark, sf)), "uptime")
