@@ -2,18 +2,18 @@
 
 Base: e-mail and IP addresses, card and phone numbers by pattern and check (parts, Luhn, digits), with code-point spans.
 
-Method (information-theoretic sanitisation): a found value is a protected entity ``e``. For each word ``t`` near it the corpus gives
-n(e), n(t) and n(e, t), in documents, and the disclosure of ``e`` by ``t`` is PMI(e; t) / IC(e) =
+Method (information-theoretic sanitisation): a found value is a protected entity ``e``. For each word ``t`` of a text that carries it, wherever it
+stands, the corpus gives n(e), n(t) and n(e, t), in documents, and the disclosure of ``e`` by ``t`` is PMI(e; t) / IC(e) =
 log(N n(e,t) / (n(e) n(t))) / log(N / n(e)): 1 when ``t`` never occurs without ``e``, 0 when the two are independent.
 n(e, t) / n(t), the share of the term's documents that carry ``e``, is taken at its lower confidence bound (Wilson, one-sided 95 %), so few
-documents count for less and none are too few. A term seen within ``NEAR`` words of ``e`` anywhere is counted in all documents of ``e``; if its
-disclosure reaches ``threshold`` it is generalised in the documents that carry ``e``; from ``remove_at`` on it is removed. Documents with the
-same text count once; all counts cover all documents. Pairs whose disclosure couldn't reach the threshold even if n(e, t) were as great as
-n(e) and n(t) allow aren't counted.
+documents count for less and none are too few. If the disclosure of ``t`` reaches ``threshold`` it is generalised in the documents that carry
+``e``; from ``remove_at`` on it is removed. Documents with the same text count once; all counts cover all documents. Pairs whose disclosure
+couldn't reach the threshold even if n(e, t) were as great as n(e) and n(t) allow aren't counted. Entities carried by the same texts have the same
+counts with every term, so they are one class and are counted once: a list of addresses found nowhere else costs its words, not their product.
 
 A null or empty text has no spans; repeated rows each get their own row; an empty table gives an empty result; other columns aren't read.
 Patterns are possessive and start at run ends or at the end of the last match only, so texts of any length are matched in linear time and without
-a stack; the surroundings of a text's values are cut out by code point, which costs each value one run over the text before it.
+a stack.
 """
 
 from __future__ import annotations
@@ -34,8 +34,6 @@ PATTERNS = {
 #: Texts without such a place have no match of the kind.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][\x20-]?){15}[0-9]", "phone": r"\+[0-9]"}
 WORD = r"\p{L}{3,}"
-REACH = 160
-NEAR = 6
 Z = 1.645
 THRESHOLD = 0.8
 REMOVE_AT = 0.95
@@ -112,69 +110,78 @@ def _entity(kind: str, span: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), F.lower(span["v"]))
 
 
-def _entities(base: DataFrame) -> DataFrame:
-    """One row per span: copy (hash of the text), entity, terms near it."""
-    marked = lambda k: F.transform(k, lambda x: F.struct(_entity(k, x).alias("entity"), x["s"].alias("s"), x["e"].alias("e")))
-    each = F.concat(*map(marked, KINDS))
-    spans = base.where(F.col("text").isNotNull()).select("text", F.explode(each).alias("x")).select("text", "x.*")
-    left = F.expr(f"substring(text, greatest(1, s - {REACH - 1}), least(s, {REACH}))")
-    right = F.expr(f"substring(text, e + 1, {REACH})")
-    words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(WORD), F.lit(0))
-    before = let(words(left), lambda w: F.slice(w, F.greatest(F.size(w) - NEAR + 1, F.lit(1)), F.lit(NEAR)))
-    after = let(words(right), lambda w: F.slice(w, F.lit(1), F.lit(NEAR)))
-    return spans.select(F.xxhash64("text").alias("copy"), "entity", F.array_distinct(F.concat(before, after)).alias("terms"))
-
-
 def _words(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
 
 
-def revealing_terms(base: DataFrame, threshold: float = THRESHOLD, remove_at: float = REMOVE_AT, z: float = Z) -> DataFrame:
-    """entity, term, disclosure, removed for every term over the threshold."""
+def _entities(*keys: str) -> list[Column]:
+    """Key columns and one row per distinct entity of a row's spans."""
+    values = lambda k: F.transform(k, lambda x: _entity(k, x))
+    return [*map(F.col, keys), F.explode(F.array_distinct(F.concat(*map(values, KINDS)))).alias("entity")]
+
+
+def entity_classes(carried: DataFrame) -> DataFrame:
+    """entity, class, n_entity from rows (copy, entity): entities of one class are carried by the same texts, told by their number and two sums of hashes."""
+    total = F.sum(F.xxhash64("copy", F.lit(1)).cast("decimal(38,0)")).cast("string")
+    mark = F.concat_ws(":", F.count("*"), total, F.bit_xor(F.xxhash64("copy", F.lit(2))))
+    return carried.groupBy("entity").agg(F.unhex(F.md5(mark)).alias("class"), F.count("*").alias("n_entity"))
+
+
+def _disclosure(n_both: Column, n_term: Column, n_entity: Column, total: Column, z: float) -> Column:
+    n, p = n_term, n_both / n_term
+    share = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    return F.log(share * total / n_entity) / F.log(total / n_entity)
+
+
+def revealing_terms(base: DataFrame, threshold: float = THRESHOLD, remove_at: float = REMOVE_AT, z: float = Z) -> tuple[DataFrame, DataFrame]:
+    """(entity, class) and (class, term, disclosure, removed) for every term over the threshold."""
     # One row stands for all documents with its text.
     own = staged(base.groupBy("copy").agg(F.min("row").alias("row")), "pii-copies")
     total = F.lit(float(max(own.count(), 1)))
-    carriers = staged(base.where(F.col("text").isNotNull()).join(own.select("row"), "row", "left_semi"), "pii-carriers")
-    pairs = staged(_entities(carriers).select("entity", F.explode("terms").alias("term")).distinct(), "pii-pairs")
-    values = lambda k: F.transform(k, lambda x: _entity(k, x))
-    carried = carriers.select("copy", F.explode(F.array_distinct(F.concat(*map(values, KINDS)))).alias("entity"))
-    n_entity = carried.groupBy("entity").agg(F.count("*").alias("n_entity"))
+    carriers = base.where(F.col("text").isNotNull()).select("row", "copy", "words", *KINDS)
+    carriers = staged(carriers.join(own.select("row"), "row", "left_semi"), "pii-carriers")
+    carried = carriers.select(*_entities("copy"))
+    classes = staged(entity_classes(carried), "pii-classes")
+    held = carried.join(classes, "entity").where(F.col("n_entity") < total).select("copy", "class", "n_entity").distinct()
     # Words of a text are distinct, so a task counts documents by counting words and shuffles its vocabulary. Words travel to the choice of
     # rows as one string, which takes a third of an array's room.
     listed = base.select("row", F.array_join("words", " ").alias("words")).join(own.select("row"), "row", "left_semi")
     words = listed.select(F.explode(F.split("words", " ")).alias("term"))
     n_term = words.groupBy("term").agg(F.count("*").alias("n_term"))
-    content = F.log(total / F.col("n_entity"))
-    reachable = F.log(total / F.greatest("n_entity", "n_term")) >= threshold * content
-    candidates = staged(pairs.join(n_term, "term").join(n_entity, "entity").where((F.col("n_entity") < total) & reachable), "pii-candidates")
-    # From a document's words to their candidate entities, then to those that it carries: never all its words times all its entities.
-    seen = carriers.select("copy", F.explode("words").alias("term")).join(candidates.select("entity", "term"), "term")
-    n_both = seen.join(carried, ["copy", "entity"], "left_semi").groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    n, p = F.col("n_term"), F.col("n_both") / F.col("n_term")
-    share = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-    scored = candidates.join(n_both, ["entity", "term"]).withColumn("disclosure", F.log(share * total / F.col("n_entity")) / content)
-    return scored.where(F.col("disclosure") >= threshold).select("entity", "term", "disclosure", (F.col("disclosure") >= remove_at).alias("removed"))
+    # Words too common for any class go first, then those too common for the classes of their text.
+    most = lambda n_entity: _disclosure(F.least("n_term", n_entity), F.col("n_term"), n_entity, total, z)
+    largest = classes.where(F.col("n_entity") < total).agg(F.max("n_entity").alias("largest"))
+    rare = n_term.crossJoin(F.broadcast(largest)).where(_reachable(F.col("n_term"), F.col("largest"), total, threshold)).drop("largest")
+    seen = carriers.select("copy", F.explode("words").alias("term")).join(rare, "term")
+    counted = seen.join(held, "copy").where(most(F.col("n_entity")) >= threshold).groupBy("class", "term", "n_term", "n_entity").agg(F.count("*").alias("n_both"))
+    scored = counted.withColumn("disclosure", _disclosure(F.col("n_both"), F.col("n_term"), F.col("n_entity"), total, z))
+    scored = scored.where(F.col("disclosure") >= threshold)
+    return classes.select("entity", "class"), staged(scored.select("class", "term", "disclosure", (F.col("disclosure") >= remove_at).alias("removed")), "pii-terms")
 
 
-def find_terms(base: DataFrame, revealing: DataFrame) -> DataFrame:
-    """row, terms: spans of revealing terms in the documents that carry their entity, outside the base spans."""
-    values = lambda k: F.transform(k, lambda x: _entity(k, x))
-    own = F.explode(F.array_distinct(F.concat(*map(values, KINDS))))
-    carried = base.where(F.col("text").isNotNull()).select("row", own.alias("entity")).join(revealing, "entity")
-    lists = carried.groupBy("row", "term").agg(F.max("removed").alias("removed")).groupBy("row").agg(F.collect_list(F.struct("term", "removed")).alias("list"))
-    pattern = F.concat(F.lit(r"(?<!\p{L})(?iu:"), F.array_join(F.col("list.term"), "|"), F.lit(r")(?!\p{L})"))
-    spans = base.join(lists, "row").select("row", "list", F.concat(*KINDS).alias("base"), found(F.col("text"), pattern).alias("x"))
-    free = F.filter("x", lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    marked = F.transform(free, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"), F.exists("list", lambda t: (t["term"] == F.lower(x["v"])) & t["removed"]).alias("removed")))
-    return spans.select("row", marked.alias("terms"))
+def _reachable(n_term: Column, n_entity: Column, total: Column, threshold: float) -> Column:
+    """Whether a term of ``n_term`` documents could disclose an entity of up to ``n_entity`` documents; grows with ``n_entity``."""
+    return F.log(total / F.greatest(n_term, n_entity)) >= threshold * F.log(total / n_entity)
+
+
+def find_terms(base: DataFrame, classes: DataFrame, revealing: DataFrame) -> DataFrame:
+    """row, terms: spans of revealing terms in the documents that carry their entity."""
+    carriers = base.where(F.col("text").isNotNull())
+    carried = carriers.select(*_entities("row")).join(classes, "entity").select("row", "class").distinct().join(revealing, "class")
+    wanted = carried.groupBy("row", "term").agg(F.max("removed").alias("removed"))
+    words = carriers.select("row", F.explode(found(F.col("text"), F.lit(rf"{WORD}+"))).alias("x")).select("row", "x.s", "x.v")
+    spans = words.join(wanted, (words["row"] == wanted["row"]) & (F.lower("v") == F.col("term"))).select(words["row"], "s", (F.col("s") + F.length("v")).alias("e"), "v", "removed")
+    return spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("s", "e", "v", "removed"))).alias("terms"))
 
 
 def find_private(df: DataFrame, text: str = "text", key: str = "doc_id", **limits) -> DataFrame:
-    """Every row of ``df`` once: row, doc_id, span arrays of the base kinds, ``terms``, and the text where there is a base span."""
+    """Every row of ``df`` once: row, doc_id, span arrays of the base kinds, ``terms`` outside these, and the text where there is a base span."""
     base = find_base(df, text, key)
-    revealing = staged(revealing_terms(base, **limits), "pii-terms")
+    classes, revealing = revealing_terms(base, **limits)
     none = F.expr("cast(array() as array<struct<s:int,e:int,v:string,removed:boolean>>)")
-    return base.drop("copy", "words").join(find_terms(base, revealing), "row", "left").withColumn("terms", F.coalesce("terms", none))
+    rows = base.drop("copy", "words").join(find_terms(base, classes, revealing), "row", "left").withColumn("terms", F.coalesce("terms", none))
+    free = lambda x: ~F.exists(F.concat(*KINDS), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+    return rows.withColumn("terms", F.filter("terms", free))
 
 
 def sanitised(found_rows: DataFrame) -> DataFrame:

@@ -65,6 +65,20 @@ def test_terms_of_rare_entities_and_fixed_signatures(spark):
     assert not any({"and", "the", "usual"} & terms for terms in got.values())
 
 
+def test_terms_far_from_their_entity(spark):
+    """A name counts wherever it stands in the texts of an entity: before 200 words, behind one of 300 letters, cut by no window; lists of addresses too."""
+    many = " ".join(f"p{k}@list.example.org" for k in range(60))
+    far = f"quibblefax {brute.prose(200, 1)} QQ@mail.example.org {'y' * 300} snorkelby {brute.prose(100, 2)} Wobbletrix"
+    rows = [(k, f"{brute.prose(300, 10 + k)} and the usual matter") for k in range(2000)]
+    rows += [(9000, far), (9001, far.replace("QQ", "qq") + " usual"), (9002, f"{many} grumbletop {many}")]
+    found = pii.find_private(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: {x.v for x in r.terms} for r in found.select("doc_id", "terms").collect()}
+    assert all({"quibblefax", "y" * 300, "snorkelby", "Wobbletrix"} <= got[k] for k in (9000, 9001)), got[9000]
+    assert got[9002] == {"grumbletop"} and "usual" not in got[9001]
+    texts = dict(rows)
+    assert all(texts[r.doc_id][x.s:x.e] == x.v for r in found.where("size(terms) > 0").collect() for x in r.terms)
+
+
 def test_sequences_follow_the_schedule(spark, tmp_path):
     """Sequences are numbered by ranges of slots, however the mixed rows were dealt to files."""
     rng = random.Random(2)
