@@ -18,7 +18,7 @@ from dockflow.plans.flow import build_flow
 from dockflow.plans.jobs import Calendars
 from dockflow.session import scratch_path
 from dockflow.sources.calendars import break_ranges, holiday_dates
-from dockflow.sources.tables import write_and_read
+from dockflow.sources.tables import write_and_read, write_by_station
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -270,17 +270,18 @@ def fresh_flow(spark: SparkSession, sf: str, **options) -> DataFrame:
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame], by_station: bool = False) -> DataFrame:
     """A table written below the shared folder once per application, as the jobs keep their
-    processed tables; reports and models read it instead of repeating the whole history."""
+    processed tables; reports and models read it instead of repeating the whole history.
+    Tables of station hours lie in buckets ``by_station``, which their windows and joins are keyed by."""
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _STORED:
-        _STORED[key] = write_and_read(build(), scratch_path(spark, name))
+        _STORED[key] = (write_by_station if by_station else write_and_read)(build(), scratch_path(spark, name))
     return _STORED[key]
 
 
 def flow(spark: SparkSession, sf: str) -> DataFrame:
-    return stored(spark, sf, "flow", lambda: fresh_flow(spark, sf))
+    return stored(spark, sf, "flow", lambda: fresh_flow(spark, sf), by_station=True)
 
 
 # --- scored rows ----------------------------------------------------------------------------
@@ -303,7 +304,7 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     def build() -> DataFrame:
         rows = seasonal_mean(flow(spark, sf), target="delta_pred").filter("delta_pred is not null")
         return rows.withColumns({"delta_pred": F.round("delta_pred", 4), "delta_test": F.col("delta")})
-    return stored(spark, sf, "scored", build)
+    return stored(spark, sf, "scored", build, by_station=True)
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:

@@ -451,7 +451,7 @@ def basic(spark, sf) -> DataFrame:
         kept = rebuild.rebuild_short_gaps(outliers.drop_outliers(dense(spark, sf), "station"))
         dated = outliers.drop_outliers(kept.withColumn("date", F.to_date("datehour")), "date").drop("date")
         return dated.withColumns({"weekday": F.weekday("datehour"), "hour": F.hour("datehour")})
-    return stored(spark, sf, "basic", build)
+    return stored(spark, sf, "basic", build, by_station=True)
 
 
 @query("f05_seasonal_median", f"WITH {MEDIANS} SELECT station, datehour, {s6('seasonal_median')} AS seasonal_median FROM med")

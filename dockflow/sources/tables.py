@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockflow.functions.timefn import hour_floor
+from dockflow.session import shuffle_width
 
 
 def append_status(df: DataFrame, path: str) -> None:
@@ -100,6 +101,18 @@ def write_and_read(df: DataFrame, path: str) -> DataFrame:
     return load_table(df.sparkSession, path)
 
 
+def write_by_station(df: DataFrame, path: str) -> DataFrame:
+    """Materialise a stage boundary as a table in buckets by station, as many as a shuffle has partitions.
+
+    Rows already placed by station are written where they are, a file per bucket; joins, groups and windows keyed by station that read
+    the table find it placed, so no reader shuffles it again.
+    """
+    spark, width = df.sparkSession, shuffle_width(df.sparkSession)
+    name = f"stage_{uuid.uuid4().hex}"
+    df.repartition(width, "station").write.option("path", path).bucketBy(width, "station").saveAsTable(name)
+    return spark.table(name)
+
+
 def last_days(df: DataFrame, days: int, col: str = "datehour", strict: bool = False) -> DataFrame:
     """Rows not older than ``days`` before the newest row; ``strict`` excludes the bound itself."""
     cut = df.agg((F.max(col) - F.expr(f"interval {days} days")).alias("cut")).scalar()
