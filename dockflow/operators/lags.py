@@ -21,6 +21,9 @@ PEAK_LENGTH = 7
 PEAK_MEANS = ["mean_6_12", "mean_16_22"]
 HISTORY_DAYS = 57
 
+# Parts of the stack of requests and history per shuffle partition: the stack is several times the flow, and a task sorts its part whole.
+STACK_PARTS = 4
+
 LAG_KEYS = ["station", "weekday", "dayoff", "hour"]
 LAG_COLUMNS = ["lagged_value", "lagged_value_3hours_mean", "mean_value", *PEAK_MEANS]
 
@@ -120,24 +123,30 @@ def join_lags(
         kept_out = [c for c in kept if c != "dayoff"] + ["dayoff"]
     stacked = tagged.unionByName(
         hist.select("datehour", *LAG_KEYS, *columns).withColumn("_req", F.lit(0)), allowMissingColumns=True
-    ).repartition(shuffle_width(req.sparkSession), "station", "weekday")
+    ).repartition(STACK_PARTS * shuffle_width(req.sparkSession), "station", "weekday")
+
+    def keys_of(c: str) -> list[str]:
+        return ["station", "weekday"] if c in PEAK_MEANS else LAG_KEYS
 
-    def carried(c: str) -> Column:
-        keys = ["station", "weekday"] if c in PEAK_MEANS else LAG_KEYS
+    def past(c: str) -> Column:
         own_hour = not leak_free or c in ("mean_value", *PEAK_MEANS)
         # history first lets a request see its own hour, requests first hide it
         tie = F.col("_req") if own_hour else F.col("_req").desc()
-        past = F.last(c, ignorenulls=True).over(
-            W.partitionBy(*keys).orderBy("datehour", tie).rowsBetween(W.unboundedPreceding, 0)
-        )
-        if leak_free:
-            return past
-        later = F.last(c, ignorenulls=True).over(
-            W.partitionBy(*keys).orderBy(F.col("datehour").desc(), F.col("_req")).rowsBetween(W.unboundedPreceding, 0)
+        return F.last(c, ignorenulls=True).over(
+            W.partitionBy(*keys_of(c)).orderBy("datehour", tie).rowsBetween(W.unboundedPreceding, 0)
         )
-        return F.coalesce(past, later)
 
-    out = stacked.withColumns({c: carried(c) for c in columns})
+    def first_known(c: str) -> Column:
+        """What a row without an earlier value takes: the key's first one, without another sort."""
+        return F.min_by(c, F.when(F.col(c).isNotNull(), F.col("datehour"))).over(W.partitionBy(*keys_of(c)))
+
+    out = stacked
+    for group in (LAG_KEYS, ["station", "weekday"]):
+        mine = [c for c in columns if keys_of(c) == group]
+        out = out.withColumns({f"_past_{c}": past(c) for c in mine})
+        if not leak_free:
+            out = out.withColumns({f"_past_{c}": F.coalesce(f"_past_{c}", first_known(c)) for c in mine})
+    out = out.withColumns({c: F.col(f"_past_{c}") for c in columns})
     return out.filter("_req = 1").select(*kept_out, *columns)
 
 
