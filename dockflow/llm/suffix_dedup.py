@@ -6,7 +6,8 @@ minimisers, so they meet. Neighbouring windows with one minimiser form a stretch
 2. Every slice sends each of its minimisers once, in 13 bytes (part of the minimiser, stretch name of 64 bits), with the least document that has it. A shard
    answers where another document has it too: with that owner where all stretches are the same, else that they differ. A minimiser in a
    third of all documents thus costs one entry a slice.
-3. Where stretches differ, their bytes are pre-aggregated by name and each minimiser's different stretches get one suffix array: suffixes are
+3. Where stretches differ, their bytes are pre-aggregated by name and each minimiser's different stretches get one suffix array, but for those that
+   agree with no other one in enough bytes around the seed to share a window. The seed, once in each, is one symbol there. Suffixes are
    grouped by their Lyndon prefix, groups are processed in descending order with previous-smaller pointers, then each group's order is emitted
    from left to right, without recursive renaming. Suffixes with equal first 50 bytes stand together; the earliest document of each such run
    owns it. Beyond ``MAX_STRINGS`` stretches of one minimiser the windows themselves are grouped, by a pre-aggregated shuffle.
@@ -35,6 +36,8 @@ SPAN = WINDOW - SEED + 1
 MAX_RUN = 200
 MAX_STRINGS = 4000
 SLICE_BYTES = 1 << 21
+#: Bytes before and after the seed: whatever window two strings share, they share the seed with one of these.
+AROUND = [(k, max(SPAN - 1 - (k + 3), 0)) for k in range(0, SPAN, 4)]
 NO_KEY = -(1 << 63)
 DIFFER = NO_KEY
 _U = np.uint64
@@ -53,8 +56,8 @@ def _table() -> np.ndarray:
 BYTE = _table()
 
 
-def minimisers(data: np.ndarray) -> np.ndarray:
-    """Least seed hash of every window; hashes and minima by doubling."""
+def seed_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of the seed that starts at each byte, by doubling."""
     with np.errstate(over="ignore"):
         h1 = BYTE[data]
         h2 = h1[:-1] * _P + h1[1:]
@@ -66,7 +69,12 @@ def minimisers(data: np.ndarray) -> np.ndarray:
         h16 = h8[:-8] * p8 + h8[8:]
         h = h16[:len(data) - SEED + 1] * p8 + h8[16:]
         h = (h ^ (h >> _U(32))) * _U(0xD6E8FEB86659FD93)
-        h = h ^ (h >> _U(29))
+        return h ^ (h >> _U(29))
+
+
+def minimisers(data: np.ndarray) -> np.ndarray:
+    """Least seed hash of every window; minima by doubling."""
+    h = seed_hashes(data)
     size = 1
     while 2 * size <= SPAN:
         h = np.minimum(h[:-size], h[size:])
@@ -107,8 +115,10 @@ class Stretches:
             starts = np.flatnonzero(first)
             owner = np.searchsorted(ends, starts, side="right")
             stop = np.minimum(np.append(starts[1:], len(least)), ends[owner] - WINDOW + 1)
-            if (stop - starts > MAX_RUN).any():
-                starts = np.concatenate([np.arange(a, b, MAX_RUN) for a, b in zip(starts.tolist(), stop.tolist())])
+            parts = -((starts - stop) // MAX_RUN)
+            if (parts > 1).any():
+                before = np.cumsum(parts) - parts
+                starts = np.repeat(starts, parts) + MAX_RUN * (np.arange(parts.sum()) - np.repeat(before, parts))
                 owner = np.searchsorted(ends, starts, side="right")
                 stop = np.minimum(np.append(starts[1:], len(least)), ends[owner] - WINDOW + 1)
             sums = np.concatenate([[_U(0)], np.cumsum(BYTE[data] * powers(_P_INVERSE, len(data) - 1))])
@@ -337,17 +347,80 @@ def suffix_array(text: Sequence[int]) -> list[int]:
     return array
 
 
-def window_owners(strings: list[bytes], owners: list[int]) -> list[list[tuple[int, int, int]]]:
-    """For each string its ranges (first window, windows, least owner of a string with that window)."""
+def seed_places(strings: list[bytes], least: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per string the place of its seed, -1 unless every string of its group has its own once, and whether it may share a window with another one.
+
+    A window holds its seed and ``SPAN - 1`` bytes around it, so strings that share one agree in the seed with the bytes of one of ``AROUND``.
+    """
+    sizes = np.array([len(s) for s in strings], np.int64)
+    begin = np.cumsum(sizes) - sizes
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    number = np.repeat(np.arange(len(strings)), sizes)[:len(data) - SEED + 1]
+    spots = np.flatnonzero(seed_hashes(data) == least[number])
+    own = number[spots]
+    inside = spots + SEED <= (begin + sizes)[own]
+    spots, own = spots[inside], own[inside]
+    once = np.bincount(own, minlength=len(strings)) == 1
+    place = np.full(len(strings), -1, np.int64)
+    place[own] = spots - begin[own]
+    unsure = np.zeros(group.max() + 1, bool)
+    unsure[group[~once]] = True
+    unsure = unsure[group]
+    place[unsure] = -1
+    may = unsure.copy()
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([[_U(0)], np.cumsum(BYTE[data] * powers(_P_INVERSE, len(data) - 1))])
+        scale = powers(_P, len(data))
+        for before, after in AROUND:
+            there = np.flatnonzero(~unsure & (place >= before) & (place + SEED + after <= sizes))
+            at = begin[there] + place[there] - before
+            value = mixed((sums[at + before + SEED + after] - sums[at]) * scale[at] + group[there].astype(_U) * _U(0xD6E8FEB86659FD93))
+            _, which, n = np.unique(value, return_inverse=True, return_counts=True)
+            may[there[n[which] > 1]] = True
+    return place, may
+
+
+def group_owners(minimisers: list[int], groups: list[list[bytes]], owners: list[list[int]]) -> list[list[list[tuple[int, int, int]]]]:
+    """For each minimiser the ranges of its strings, as ``window_owners`` gives them; strings that can't share a window aren't sorted."""
+    if not groups:
+        return []
+    counts = [len(g) for g in groups]
+    least = np.repeat(np.array(minimisers, np.int64).view(_U), counts)
+    place, may = seed_places([s for g in groups for s in g], least, np.repeat(np.arange(len(groups)), counts))
+    out, at = [], 0
+    for strings, own in zip(groups, owners):
+        found = [[(0, len(s) - WINDOW + 1, o)] for s, o in zip(strings, own)]
+        sort = np.flatnonzero(may[at:at + len(strings)]).tolist()
+        if len(sort) > 1:
+            seeds = place[at:at + len(strings)][sort].tolist()
+            for k, r in zip(sort, window_owners([strings[k] for k in sort], [own[k] for k in sort], seeds)):
+                found[k] = r
+        out.append(found)
+        at += len(strings)
+    return out
+
+
+def window_owners(strings: list[bytes], owners: list[int], seeds: list[int] | None = None) -> list[list[tuple[int, int, int]]]:
+    """For each string its ranges (first window, windows, least owner of a string with that window).
+
+    ``seeds`` are the places of the one seed that every window of every string holds; if it is the same one, it counts as a single symbol.
+    """
     if len(strings) == 1:
         return [[(0, len(strings[0]) - WINDOW + 1, owners[0])]]
+    folded = seeds is not None and min(seeds) >= 0 and len({s[p:p + SEED] for s, p in zip(strings, seeds)}) == 1
     text: list[int] = []
     place: list[tuple[int, int] | None] = []
     for k, string in enumerate(strings):
-        text += string
+        if folded:
+            text += string[:seeds[k]]
+            text.append(256)
+            text += string[seeds[k] + SEED:]
+        else:
+            text += string
         text.append(-1)
         windows = len(string) - WINDOW + 1
-        place += [(k, i) for i in range(windows)] + [None] * WINDOW
+        place += [(k, i) for i in range(windows)]
+        place += [None] * (len(text) - len(place))
     least = [[0] * (len(s) - WINDOW + 1) for s in strings]
     run: list[tuple[int, int]] = []
 
@@ -394,12 +467,11 @@ def owned_windows(strings: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, names, found = [], [], []
-            for minimiser, m in zip(batch.column("minimiser").to_pylist(), batch.column("m")):
-                own, strings, owners = (m.values.field(c).to_pylist() for c in ("name", "string", "owner"))
-                keys += [minimiser] * len(own)
-                names += own
-                found += window_owners(strings, owners)
+            minimisers = batch.column("minimiser").to_pylist()
+            own, strings, owners = ([m.values.field(c).to_pylist() for m in batch.column("m")] for c in ("name", "string", "owner"))
+            keys = [m for m, o in zip(minimisers, own) for _ in o]
+            names = [name for o in own for name in o]
+            found = [r for g in group_owners(minimisers, strings, owners) for r in g]
             flat = [r for ranges in found for r in ranges]
             at, n, owner = zip(*flat) if flat else ((), (), ())
             parts = pa.StructArray.from_arrays([pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(owner, pa.int64())], names=["at", "n", "owner"])
