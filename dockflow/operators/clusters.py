@@ -39,7 +39,11 @@ def cluster_features(df: DataFrame, keep_incomplete: bool = False) -> DataFrame:
 
 def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distances of rows to centres."""
-    return np.maximum((x * x).sum(1)[:, None] - 2 * (x @ centres.T) + (centres * centres).sum(1), 0.0)
+    d = x @ centres.T
+    d *= -2
+    d += (x * x).sum(1)[:, None]
+    d += (centres * centres).sum(1)
+    return np.maximum(d, 0.0, out=d)
 
 
 def _totals(points: DataFrame, columns: list[str], centres: Centres) -> dict[int, pd.DataFrame]:
@@ -47,30 +51,31 @@ def _totals(points: DataFrame, columns: list[str], centres: Centres) -> dict[int
 
     One job for all candidates: a task adds its points up in a table of as many rows as there are centres, and the tables are summed.
     """
-    sums = [f"s{i}" for i in range(len(columns))]
-    fields = ["n", "psi", "cost", *sums]
-
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = {k: np.zeros((len(c), len(fields))) for k, c in centres.items()}
-        for batch in batches:
-            x = batch.to_numpy(dtype=float)
-            row = np.column_stack([np.ones(len(x)), (x * x).sum(1), np.zeros(len(x)), x])
-            for k, c in centres.items():
-                d = _distances(x, c)
-                label = d.argmin(1)
-                row[:, 2] = d[np.arange(len(x)), label]
-                np.add.at(tables[k], label, row)
-        for k, t in tables.items():
-            used = np.flatnonzero(t[:, 0])
-            if len(used):
-                yield pd.DataFrame(t[used], columns=fields).assign(k=k, cluster=used)[["k", "cluster", *fields]]
-
+    fields = ["n", "psi", "cost", *[f"s{i}" for i in range(len(columns))]]
     schema = "k int, cluster int, " + ", ".join(f"{f} double" for f in fields)
-    parts = points.select(*columns).mapInPandas(add, schema)
+    parts = points.select(*columns).mapInPandas(lambda batches: _added_up(batches, centres, fields), schema)
     rows = parts.groupBy("k", "cluster").agg(*[F.sum(f).alias(f) for f in fields]).toPandas()
     return {int(k): g.set_index("cluster").sort_index() for k, g in rows.groupby("k")}
 
 
+def _added_up(batches: Iterator[pd.DataFrame], centres: Centres, fields: list[str]) -> Iterator[pd.DataFrame]:
+    """One frame for all candidates: a frame each would cost more than the adding."""
+    tables = {k: np.zeros((len(c), len(fields))) for k, c in centres.items()}
+    for batch in batches:
+        x = batch.to_numpy(dtype=float)
+        row = np.column_stack([np.ones(len(x)), (x * x).sum(1), np.zeros(len(x)), x])
+        for k, c in centres.items():
+            d = _distances(x, c)
+            label = d.argmin(1)
+            row[:, 2] = d[np.arange(len(x)), label]
+            tables[k] += np.column_stack([np.bincount(label, column, len(c)) for column in row.T])
+    numbers = np.array([(k, i) for k, t in tables.items() for i in range(len(t))], int).reshape(-1, 2)
+    rows = np.concatenate([np.zeros((0, len(fields))), *tables.values()])
+    used = np.flatnonzero(rows[:, 0])
+    if len(used):
+        yield pd.DataFrame(rows[used], columns=fields).assign(k=numbers[used, 0], cluster=numbers[used, 1])[["k", "cluster", *fields]]
+
+
 def seeds(points: DataFrame, columns: list[str], most: int, seed: int = 0) -> np.ndarray:
     """Up to ``most`` first centres in an order whose every beginning is a choice of its own, so that one order serves all candidates.
 
