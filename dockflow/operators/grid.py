@@ -75,23 +75,20 @@ def densify(hourly: DataFrame, value: str = "bikes", max_gap: int = 0, until: Co
     placed = hourly.select("station", "datehour", value, *attrs).repartition(
         shuffle_width(hourly.sparkSession), "station"
     )
-    runs = placed.withColumns(
-        {
-            "_seen": F.col("datehour"),
-            "_from": start_hour,
-            "_to": F.coalesce(F.lead("datehour").over(w) - step, until),
-        }
-    )
+    runs = placed.withColumns({"_from": start_hour, "_to": F.coalesce(F.lead("datehour").over(w) - step, until)})
+    # Hours are counted once per run: its rows know their place in it.
+    ahead = hour_index(F.col("datehour")) - hour_index(F.col("_from"))
+    length = hour_index(F.col("_to")) - hour_index(F.col("datehour"))
+    runs = runs.withColumns({"_ahead": ahead, "_length": length})
     if max_gap:
         runs = runs.withColumn("_end", F.lead(value).over(w).cast("double"))
-    dense = runs.withColumn("datehour", F.explode(F.sequence("_from", "_to", step)))
-    start = F.col(value).cast("double")
-    filled = F.when(F.col("datehour") == F.col("_seen"), start)
+    kept = [c for c in runs.columns if c != "datehour"]
+    dense = runs.select(*kept, F.posexplode(F.sequence("_from", "_to", step)).alias("_place", "datehour"))
+    start, offset = F.col(value).cast("double"), F.col("_place") - F.col("_ahead")
+    filled = F.when(offset == 0, start)
     if max_gap:
-        offset = hour_index(F.col("datehour")) - hour_index(F.col("_seen"))
-        length = hour_index(F.col("_to")) - hour_index(F.col("_seen"))
-        line = F.coalesce(start + (F.col("_end") - start) * offset / (length + 1), start)
-        filled = filled.when((offset > 0) & (length <= max_gap), line)
+        line = F.coalesce(start + (F.col("_end") - start) * offset / (F.col("_length") + 1), start)
+        filled = filled.when((offset > 0) & (F.col("_length") <= max_gap), line)
     return dense.select("station", "datehour", *attrs, filled.alias(value))
 
 

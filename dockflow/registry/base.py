@@ -263,8 +263,8 @@ FLOW = REBUILT + ", " + COMPLETE_WEATHER + f""", flow AS (
 
 def fresh_flow(spark: SparkSession, sf: str, **options) -> DataFrame:
     cal = calendars(spark)
-    flow = build_flow(status(spark, sf), weather(spark, sf), cal.holidays, cal.breaks, cal.uni_breaks, **options)
-    return rounded(flow, *FLOW_VALUES)
+    flow = build_flow(status(spark, sf), weather(spark, sf), cal.holidays, cal.breaks, cal.uni_breaks, weather_places=6, **options)
+    return rounded(flow, "bikes", "delta")
 
 
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
