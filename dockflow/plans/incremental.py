@@ -32,7 +32,7 @@ from dockflow.operators.filters import clamp_stock, select_flow
 from dockflow.operators.grid import add_delta, by_hour, dated, densify
 from dockflow.operators.outliers import outlier_labels
 from dockflow.operators.rebuild import LEAD_IN, interpolate_night, neighbour_mean, seasonal_median
-from dockflow.plans.flow import stage_tables, with_weather
+from dockflow.plans.flow import join_calendar, stage_tables, with_weather
 from dockflow.sources.tables import folders, published_numbers, remove
 
 REACH = timedelta(days=2)
@@ -335,7 +335,10 @@ class FlowStore:
         state = self.state()
         rows = self.read("rebuilt", state, lambda b, d: since is None or d >= since).select("station", "datehour", "bikes", "delta", "reconstructed")
         rows = rows.join(self.stations(state).select("station", "lat", "lon", "name", "capacity"), "station")
-        return select_flow(add_calendar(rows, holidays, breaks, uni_breaks))
+        if state is None or state.low is None:
+            return select_flow(add_calendar(rows, holidays, breaks, uni_breaks))
+        hours = F.explode(F.sequence(instant(state.low), instant(state.high), F.expr(ONE_HOUR)))
+        return select_flow(join_calendar(rows, self.spark.range(1).select(hours.alias("datehour")), holidays, breaks, uni_breaks))
 
     def flow(self, wx: DataFrame, holidays: DataFrame, breaks: DataFrame, uni_breaks: DataFrame, since: date | None = None) -> DataFrame:
         return with_weather(self.station_flow(holidays, breaks, uni_breaks, since), wx)

@@ -17,6 +17,7 @@ from dockflow.operators.filters import drop_incomplete, valid_stations
 from dockflow.operators.lags import smooth
 from dockflow.operators.models import fit_flow, mark_tail
 from dockflow.operators.weather import join_weather_auto
+from dockflow.plans.flow import stage_hours
 from dockflow.plans.incremental import FlowStore
 from dockflow.plans.pipeline import FeaturePipeline, PipelineConfig
 from dockflow.session import shuffle_width
@@ -43,6 +44,7 @@ def refresh(
     7-day slice and this refresh's statistics.
 
     Newer means after the hour of the newest row merged before, which the store's manifest names: the log is not read again.
+    The flow with its weather is stored once, since the statistics read it about ten times and the caller once more.
     A failed refresh that is run again appends its rows twice; merging and de-duplication take them once.
     """
     store = flow_store(spark, root, **options)
@@ -54,7 +56,7 @@ def refresh(
     state = store.state()
     mark = state.mark.strftime("%Y%m%d%H")
     known = append_weather(weather, f"{root}/weather", f"h{mark}")
-    flow = store.flow(known, cal.holidays, cal.breaks, cal.uni_breaks)
+    flow = stage_hours(store.flow(known, cal.holidays, cal.breaks, cal.uni_breaks))
     latest = store.flow(known, cal.holidays, cal.breaks, cal.uni_breaks, since=max(state.days, default=state.mark.date()) - timedelta(days=8))
     publish(recent_slice(latest), f"{root}/flow_recent")
     write_stats(profile_report(flow, days), f"{root}/stats", f"h{mark}")
